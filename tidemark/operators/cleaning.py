@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import non_negative, numeric_columns, ratio
 from tidemark.operators.series import KEYS, RN, Series, Step, compute, exact_quantiles, lay_out
+from tidemark.session import staged
 
 OHLCV = ("open", "high", "low", "close", "volume")
 COIN = ("price", "volume", "market_cap")
@@ -50,17 +51,17 @@ def _neighbours(s: Series, columns: Sequence[str]) -> tuple[Series, dict[str, tu
             for c in columns
             for side in (
                 F.last(f"_last_{c}", ignorenulls=True).over(before).alias(f"_prev_{c}"),
-                F.first(f"_first_{c}", ignorenulls=True).over(after).alias(f"_next_{c}"),
+                F.last(f"_first_{c}", ignorenulls=True).over(after).alias(f"_next_{c}"),
             )
         ],
     )
-    lo, hi = s.over(Window.unboundedPreceding, 0), s.over(0, Window.unboundedFollowing)
+    lo, hi = s.so_far(), s.so_far(backwards=True)
     s = s.add({
         name: value
         for c in columns
         for name, value in (
             (f"_prev_{c}", F.coalesce(F.last(present[c], ignorenulls=True).over(lo), F.col(f"_prev_{c}"))),
-            (f"_next_{c}", F.coalesce(F.first(present[c], ignorenulls=True).over(hi), F.col(f"_next_{c}"))),
+            (f"_next_{c}", F.coalesce(F.last(present[c], ignorenulls=True).over(hi), F.col(f"_next_{c}"))),
         )
     })
     return s, {c: (F.col(f"_prev_{c}"), F.col(f"_next_{c}")) for c in columns}
@@ -94,6 +95,7 @@ def fill_forward(s: Series, columns: Sequence[str]) -> Series:
 def winsorize(s: Series, columns: Sequence[str], rule: tuple[float, float, float]) -> Series:
     """Replace values beyond ``z`` population deviations by the low/high quantile of the series."""
     z, low, high = rule
+    s = s.staged()
     rows = s.core()
     moments = [F.count(F.lit(1)).alias("_rows")]
     for c in columns:
@@ -128,7 +130,7 @@ def order_high_low(df: DataFrame) -> DataFrame:
 
 def _clean(df, columns, rule, missing, outliers, tie, keys, order, block_rows) -> DataFrame:
     present = [c for c in columns if c in df.columns]
-    out = dedupe_first(df, tie, keys, order)
+    out = staged(dedupe_first(df, tie, keys, order))
     if missing == "drop":
         out = drop_missing(out)
     s = lay_out(out, keys=keys, order=order, block_rows=block_rows)

@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import staged
+
 BLOCK_ROWS = 4096
 KEYS = ("symbol",)
 RN, BLK = "_rn", "_blk"
@@ -81,6 +83,12 @@ class Series:
         spec = Window.partitionBy(*self.keys, BLK).orderBy(RN)
         return spec if first is None else spec.rowsBetween(first, last)
 
+    def so_far(self, backwards: bool = False) -> WindowSpec:
+        """Rows of the block up to the current one, from its start or from its end."""
+        by = F.desc(RN) if backwards else F.asc(RN)
+        spec = Window.partitionBy(*self.keys, BLK).orderBy(by)
+        return spec.rowsBetween(Window.unboundedPreceding, 0)
+
     def last_rows(self, n: int) -> WindowSpec:
         return self.over(-(n - 1), 0)
 
@@ -100,6 +108,10 @@ class Series:
     def drop(self, *columns: str) -> "Series":
         return replace(self, df=self.df.drop(*columns))
 
+    def staged(self) -> "Series":
+        """Write the rows once, for steps that read them several times."""
+        return replace(self, df=staged(self.df))
+
     def core(self) -> DataFrame:
         """The rows proper, without the margin copies."""
         return self.df.where(F.expr(f"({RN} - 1) div {self.block} = {BLK}"))
@@ -137,12 +149,13 @@ class Series:
         """Summarise each block, carry the summaries along the series, and join them back.
 
         ``carry(before, after)`` gets windows over the earlier and later blocks of the series and
-        returns the columns to join. The block table has one row per ``block`` data rows.
+        returns the columns to join; ``last`` is the nearest block in both. The block table has one row per ``block`` data rows.
         """
         table = self.core().groupBy(*self.keys, BLK).agg(*aggregates)
         order = Window.partitionBy(*self.keys).orderBy(BLK)
         before = order.rowsBetween(Window.unboundedPreceding, -1)
-        after = order.rowsBetween(1, Window.unboundedFollowing)
+        # a growing frame over descending order: "1 to unbounded following" is rescanned per row
+        after = Window.partitionBy(*self.keys).orderBy(F.desc(BLK)).rowsBetween(Window.unboundedPreceding, -1)
         table = table.select(*self.keys, BLK, *carry(before, after))
         return replace(self, df=self.df.join(table, [*self.keys, BLK], "left"))
 
@@ -157,8 +170,7 @@ class Series:
             [how(F.col(src)).alias(f"_t_{out}") for out, src in columns.items()],
             lambda before, _: [how(F.col(f"_t_{out}")).over(before).alias(f"_c_{out}") for out in columns],
         )
-        upto = s.over(Window.unboundedPreceding, 0)
-        s = s.add({out: how(F.when(mine, F.col(src))).over(upto) for out, src in columns.items()})
+        s = s.add({out: how(F.when(mine, F.col(src))).over(s.so_far()) for out, src in columns.items()})
         s = s.add({
             out: F.when(F.col(f"_c_{out}").isNull(), F.col(out))
             .when(F.col(out).isNull(), F.col(f"_c_{out}"))
@@ -181,13 +193,12 @@ class Series:
         span = min(max(2, int(500 / -math.log10(decay))), 2**31)
         half = span // 2
         here = f"({RN} - 1 - {BLK} * {self.block} + {self.before})"
-        upto = (Window.unboundedPreceding, 0)
         if self.block + self.before + self.after <= span:
             place = F.expr(f"{here} - {half}")
-            total = F.sum(step * F.pow(F.lit(decay), -place)).over(self.over(*upto))
+            total = F.sum(step * F.pow(F.lit(decay), -place)).over(self.so_far())
             return self.add({out: total * F.pow(F.lit(decay), place)})
         s = self.add({"_part": F.expr(f"{here} div {span}"), "_place": F.expr(f"{here} % {span} - {half}"), "_u": step})
-        inside = Window.partitionBy(*self.keys, BLK, "_part").orderBy(RN).rowsBetween(*upto)
+        inside = Window.partitionBy(*self.keys, BLK, "_part").orderBy(RN).rowsBetween(Window.unboundedPreceding, 0)
         weighted = F.col("_u") * F.pow(F.lit(decay), -F.col("_place"))
         s = s.add({"_y": F.sum(weighted).over(inside) * F.pow(F.lit(decay), F.col("_place"))})
         previous = Window.partitionBy(*self.keys, BLK).orderBy("_part").rangeBetween(-1, -1)

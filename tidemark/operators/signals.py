@@ -145,6 +145,7 @@ def bubble_flag(vol: str = "volatility_30d", ret: str = "return_90d") -> Step:
     """High volatility and extreme return against the quantiles of the whole series (look-ahead)."""
 
     def build(s: Series) -> Series:
+        s = s.staged()
         both = exact_quantiles(s.core(), [vol, ret], (0.85, 0.90), s.keys, s.order)
         s = s.join_per_series(both.select(*s.keys, f"{vol}_q0", f"{ret}_q1"))
         value = flag((F.col(vol) > F.col(f"{vol}_q0")) & (F.col(ret) > F.col(f"{ret}_q1")))

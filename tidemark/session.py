@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job should run with. ANSI mode stays on, as Spark ships it.
 SETTINGS = {
@@ -51,9 +52,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df):
-    """Checkpoint ``df`` in the shared folder, so lost executors do not recompute its history."""
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For a result that several branches of a plan read: they then scan the columns they need instead
+    of repeating its history, and a lost executor costs no more than a re-read. The folder's own
+    retention rules remove the tables.
+    """
     spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    path = f"{shared_folder(spark).rstrip('/')}/tidemark-staged/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -95,12 +95,12 @@ b as (select symbol, hour as ts, open, high, low, close, volume,
     row_number() over (partition by symbol order by hour) as rn from bars)"""
 
 
-def coin_daily(spark: SparkSession, folder: str) -> DataFrame:
+def coin_daily(spark: SparkSession, folder: str, digits: int | None = 6) -> DataFrame:
     """Daily price, market cap and volume of five coins from ``orders``."""
     return table(spark, folder, "orders").groupBy(
         F.col("o_orderpriority").alias("symbol"), F.to_date("o_orderdate").alias("date")
     ).agg(
-        F.round(F.avg("o_totalprice"), 6).alias("price"),
+        (F.avg("o_totalprice") if digits is None else F.round(F.avg("o_totalprice"), digits)).alias("price"),
         F.round(F.sum("o_totalprice"), 2).alias("market_cap"),
         F.count(F.lit(1)).cast("double").alias("volume"),
     )
@@ -131,13 +131,13 @@ COIN_TOTAL = """totals as (
   from orders group by 1 having isodow(cast(o_orderdate as date)) = 1)"""
 
 
-def index_daily(spark: SparkSession, folder: str) -> DataFrame:
+def index_daily(spark: SparkSession, folder: str, digits: int | None = 6) -> DataFrame:
     """Daily level of five regional indices."""
     o, c, n = (table(spark, folder, t) for t in ("orders", "customer", "nation"))
     return (
         o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
         .groupBy(F.concat(F.lit("^R"), "n_regionkey").alias("symbol"), F.to_date("o_orderdate").alias("date"))
-        .agg(F.round(F.avg("o_totalprice"), 6).alias("close"))
+        .agg((F.avg("o_totalprice") if digits is None else F.round(F.avg("o_totalprice"), digits)).alias("close"))
     )
 
 
@@ -152,15 +152,16 @@ def prices_long(spark: SparkSession, folder: str) -> DataFrame:
     """Weekly mean price of all sixteen assets, long form."""
     daily = (
         bars_daily(spark, folder).select(F.lit("stock").alias("asset_class"), "symbol", "date", F.col("close").alias("v"))
-        .unionByName(coin_daily(spark, folder).select(F.lit("crypto").alias("asset_class"), "symbol", "date", F.col("price").alias("v")))
-        .unionByName(index_daily(spark, folder).select(F.lit("index").alias("asset_class"), "symbol", "date", F.col("close").alias("v")))
+        .unionByName(coin_daily(spark, folder, None).select(F.lit("crypto").alias("asset_class"), "symbol", "date", F.col("price").alias("v")))
+        .unionByName(index_daily(spark, folder, None).select(F.lit("index").alias("asset_class"), "symbol", "date", F.col("close").alias("v")))
     )
     return daily.groupBy("asset_class", "symbol", F.date_trunc("week", "date").cast("date").alias("week")).agg(
         F.round(F.avg("v"), 6).alias("value")
     ).withColumnRenamed("week", "date")
 
 
-PRICES_LONG = f"""{BARS_DAILY}, {COIN_DAILY}, {INDEX_DAILY},
+_EXACT = [t.replace("round(avg(o_totalprice), 6)", "avg(o_totalprice)") for t in (COIN_DAILY, INDEX_DAILY)]
+PRICES_LONG = f"""{BARS_DAILY}, {_EXACT[0]}, {_EXACT[1]},
 daily as (
   select 'stock' as asset_class, symbol, date, close as v from bars
   union all select 'crypto', symbol, date, price from coins

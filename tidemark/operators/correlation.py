@@ -189,9 +189,8 @@ def by_period(df: DataFrame, periods: Sequence[tuple[str, Column, Column]], min_
 
     ``periods`` holds (name, first day, last day); a period with fewer dates than ``min_rows`` is left out.
     """
-    named = F.array(*[F.struct(F.lit(n).alias("period"), a.alias("a"), z.alias("z")) for n, a, z in periods])
-    hits = F.filter(named, lambda p: (F.col("date") >= p["a"]) & (F.col("date") <= p["z"]))
-    rows = df.withColumn("_p", F.explode(hits)).withColumn("period", F.col("_p.period")).drop("_p")
+    names = [F.when(F.col("date").between(a, z), F.lit(n)) for n, a, z in periods]
+    rows = df.withColumn("period", F.explode(F.array_compact(F.array(*names))))
     enough = rows.select("period", "date").distinct().groupBy("period").agg(F.count(F.lit(1)).alias("_n")).where(
         F.col("_n") >= min_rows)
     return pairwise(rows.join(enough, "period", "left_semi"), ["period"])

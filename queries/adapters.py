@@ -186,3 +186,71 @@ NETWORK_DAILY = """network as (
   select event_type as symbol, cast(ts as date) as date, count(distinct user_id) as active_wallets,
     count(*) as tx_count, round(avg(value), 6) as avg_value
   from events group by 1, 2)"""
+
+
+# -- company statements --------------------------------------------------------------------------
+
+_INCOME_LINES = [  # line, item, share of revenue or of trade value
+    (2, "Cost of Goods Sold", "0.60 * gross"), (4, "Operating Income", "0.25 * rev"),
+    (5, "Interest Expense", "0.02 * rev"), (6, "Net Income", "0.15 * rev"),
+]
+_BALANCE_LINES = [
+    (2, "Total Liabilities", "0.60 * base"), (3, "Stockholders Equity", "0.40 * base"), (4, "Current Assets", "0.50 * base"),
+    (5, "Current Liabilities", "0.20 * base"), (6, "Inventory", "0.10 * base"), (7, "Cash", "0.05 * base"),
+    (8, "Accounts Receivable", "0.08 * base"), (9, "Long Term Debt", "0.25 * base"),
+]
+INCOME_CASES = [
+    (1, "case when company % 2 = 1 then 'Total Revenue' else 'Revenue' end", "rev"),
+    (3, "'Gross Profit'", "(rev - 0.60 * gross) * case when company % 5 = 0 then 0.80 else 1.00 end"),
+    *[(i, f"'{n}'", e) for i, n, e in _INCOME_LINES],
+]
+BALANCE_CASES = [
+    (1, "'Total Assets'", "base * case when company % 7 = 0 then 1.30 else 1.00 end"),
+    *[(i, f"'{n}'", e) for i, n, e in _BALANCE_LINES],
+]
+
+
+def _statement_lines(facts: DataFrame, cases, period: str = "year") -> DataFrame:
+    """One row per company, line and period; amounts in cents, written in four styles."""
+    entries = ", ".join(
+        f"named_struct('line', {i}, 'item', {item}, 'x', cast(round({e}, 2) as double))" for i, item, e in cases)
+    rows = facts.select("company", F.col(period).cast("string").alias("period"), F.col(period).alias("_y"), F.explode(F.expr(f"array({entries})")).alias("e"))
+    rows = rows.select("company", "period", "_y", "e.*")
+    style, number = (F.col("company") + F.col("line")) % 5, F.format_number("x", 2)
+    text = (
+        F.when(((F.col("company") + F.col("_y")) % 6 == 0) & (F.col("line") > 1), "")
+        .when(style == 1, F.concat(F.lit("$"), number)).when(style == 2, F.concat(F.lit("("), number, F.lit(")")))
+        .when(style == 3, "N/A").otherwise(number))
+    return rows.select("company", "line", "item", "period", text.alias("text"))
+
+
+def income_raw(spark: SparkSession, folder: str) -> DataFrame:
+    li, s = table(spark, folder, "lineitem"), table(spark, folder, "supplier")
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    facts = li.join(s, li.l_suppkey == s.s_suppkey).groupBy(F.col("s_nationkey").alias("company"), F.year("l_shipdate").alias("year")).agg(
+        F.sum(price * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(26,4)").alias("rev"), F.sum(price).cast("decimal(26,2)").alias("gross"))
+    return _statement_lines(facts, INCOME_CASES)
+
+
+def balance_raw(spark: SparkSession, folder: str) -> DataFrame:
+    o, c = table(spark, folder, "orders"), table(spark, folder, "customer")
+    facts = o.join(c, o.o_custkey == c.c_custkey).groupBy(F.col("c_nationkey").alias("company"), F.year("o_orderdate").alias("year")).agg(
+        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(26,2)").alias("base"))
+    return _statement_lines(facts, BALANCE_CASES)
+
+
+def _cases_sql(facts: str, cases, out: str) -> str:
+    rows = " union all ".join(
+        f"select company, {i} as line, {item} as item, year, cast(round({e}, 2) as double) as x from {facts}" for i, item, e in cases)
+    return f"""{out}_x as ({rows}),
+{out} as (select company, line, item, year::varchar as period, case when (company + year) % 6 = 0 and line > 1 then null
+  when (company + line) % 5 = 2 then -x when (company + line) % 5 = 3 then null else x end as value from {out}_x)"""
+
+
+INCOME_RAW = """income_facts as (select s_nationkey as company, year(l_shipdate)::int as year,
+  sum(l_extendedprice::decimal(18,2) * (1 - l_discount::decimal(4,2)))::decimal(26,4) as rev, sum(l_extendedprice::decimal(18,2))::decimal(26,2) as gross
+  from lineitem join supplier on l_suppkey = s_suppkey group by 1, 2),
+""" + _cases_sql("income_facts", INCOME_CASES, "inc")
+BALANCE_RAW = """balance_facts as (select c_nationkey as company, year(o_orderdate)::int as year, sum(o_totalprice::decimal(18,2))::decimal(26,2) as base
+  from orders join customer on o_custkey = c_custkey group by 1, 2),
+""" + _cases_sql("balance_facts", BALANCE_CASES, "bal")

@@ -111,10 +111,10 @@ hg as (select sp.symbol, g.bin::int as bin, lo + (g.bin + 0.5) * ((hi - lo) / bi
   from sp, range(50) g(bin) left join ct on ct.symbol = sp.symbol and ct.bin = g.bin where g.bin < bins)"""
 
 
-@query("price_histogram", f"with {a.BARS_RN}, {HIST} select symbol, bin, round(center, 4) as center, c as count from hg")
+@query("price_histogram", f"with {a.BARS_RN}, {HIST} select symbol, bin, round(center, 6) as center, c as count from hg")
 def price_histogram(spark, d):
     out = tr.price_histogram(tr.recent_rows(bars(spark, d), 20))
-    return out.select("symbol", "bin", F.round("center", 4).alias("center"), "count")
+    return out.select("symbol", "bin", F.round("center", 6).alias("center"), "count")
 
 
 @query("turning_points", f"""with {a.BARS_RN}, {HIST}, ix as (select *, row_number() over (partition by symbol order by rn) - 1 as i,

@@ -178,13 +178,13 @@ def network_daily(spark: SparkSession, folder: str) -> DataFrame:
     ).agg(
         F.countDistinct("user_id").alias("active_wallets"),
         F.count(F.lit(1)).alias("tx_count"),
-        F.round(F.avg("value"), 6).alias("avg_value"),
+        F.round(F.avg("value"), 9).alias("avg_value"),
     )
 
 
 NETWORK_DAILY = """network as (
   select event_type as symbol, cast(ts as date) as date, count(distinct user_id) as active_wallets,
-    count(*) as tx_count, round(avg(value), 6) as avg_value
+    count(*) as tx_count, round(avg(value), 9) as avg_value
   from events group by 1, 2)"""
 
 

@@ -116,7 +116,7 @@ def local_extrema(reach: int = 10, column: str = "close") -> Step:
     def build(s: Series) -> Series:
         left, right = s.over(-reach, -1), s.over(1, reach)
         x = F.col(column)
-        inside = (F.count(F.lit(1)).over(left) == reach) & (F.count(F.lit(1)).over(right) == reach)
+        inside = (F.count(column).over(left) == reach) & (F.count(column).over(right) == reach)
         return s.add({
             "local_bottom": flag(inside & (x < F.min(column).over(left)) & (x < F.min(column).over(right))),
             "local_top": flag(inside & (x > F.max(column).over(left)) & (x > F.max(column).over(right))),

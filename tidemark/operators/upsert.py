@@ -123,9 +123,8 @@ def indicator_rows(df: DataFrame, keys: Sequence[str] = ("asset_id",), crypto: b
     chosen = indicator_columns(df, crypto)
     plain = df.select(*keys, F.col("date").alias("calc_date"), *[F.col(c).cast("double").alias(c) for c in chosen])
     long = plain.unpivot([*keys, "calc_date"], chosen, "indicator_type", "value").where("value is not null and not isnan(value)")
-    part = lambda i: F.try_element_at(F.split("indicator_type", "_"), F.lit(i))
-    one = F.when(part(2).rlike(r"^\d+$"), part(2).cast("double"))
-    two = F.when(one.isNotNull() & part(3).rlike(r"^\d+$"), part(3).cast("double"))
+    digits = lambda pattern: F.regexp_extract("indicator_type", pattern, 1).try_cast("double")
+    one, two = digits(r"^[^_]*_(\d+)(?:_|$)"), digits(r"^[^_]*_\d+_(\d+)(?:_|$)")
     return long.withColumns({"parameter1": one, "parameter2": two})
 
 

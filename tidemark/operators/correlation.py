@@ -70,6 +70,10 @@ def _sides(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
     return wide, i, j
 
 
+def _nothing(*columns: str) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series([], dtype=object) for c in columns})
+
+
 # -- matrices ------------------------------------------------------------------------------------
 
 
@@ -273,7 +277,7 @@ def rolling(df: DataFrame, window: int, method: str = "pearson") -> DataFrame:
         ends = np.arange(window - 1, len(wide))
         mine = (rn[ends] - 1) // block == pdf[BLK].iat[0] if len(ends) else np.zeros(0, bool)
         days = wide.index.to_numpy()[ends][mine]
-        frames = [pd.DataFrame({"symbol_1": [], "symbol_2": [], "date": [], "corr": []})]
+        frames = [_nothing("symbol_1", "symbol_2", "date", "corr")]
         if len(days):
             for at, r in _rolling_matrix(wide.to_numpy(dtype=float), i, j, window):
                 p, q = i[at: at + r.shape[1]], j[at: at + r.shape[1]]
@@ -294,7 +298,7 @@ def _rolling_ranked(rows: DataFrame, window: int, method: str) -> DataFrame:
     def windows(pdf: pd.DataFrame) -> pd.DataFrame:
         wide, i, j = _sides(pdf)
         names, rn, x = wide.columns.to_numpy(), _row_numbers(pdf, wide.index), wide.to_numpy(dtype=float)
-        frames = [pd.DataFrame({"symbol_1": [], "symbol_2": [], "date": [], "corr": []})]
+        frames = [_nothing("symbol_1", "symbol_2", "date", "corr")]
         for end in range(window - 1, len(x)):
             if (rn[end] - 1) // block != pdf[BLK].iat[0]:
                 continue
@@ -328,7 +332,7 @@ def rolling_statistics(df: DataFrame, window: int) -> DataFrame:
         names, rn = wide.columns.to_numpy(), _row_numbers(pdf, wide.index)
         ends = np.arange(window - 1, len(wide))
         mine = (rn[ends] - 1) // block == pdf[BLK].iat[0] if len(ends) else np.zeros(0, bool)
-        frames = [pd.DataFrame({c: [] for c in ("symbol_1", "symbol_2", "n", "s", "ss", "lo", "hi")})]
+        frames = [_nothing("symbol_1", "symbol_2", "n", "s", "ss", "lo", "hi")]
         if mine.any():
             for at, r in _rolling_matrix(wide.to_numpy(dtype=float), i, j, window):
                 p, q, r = i[at: at + r.shape[1]], j[at: at + r.shape[1]], r[mine]
@@ -387,7 +391,7 @@ def adjacent_difference(df: DataFrame, window: int = 30, threshold: float = 0.3,
         mine = at_row[(rn[at_row] - 1) // block == pdf[BLK].iat[0]] if len(at_row) else at_row
         cols = ("date", "total", "pairs", "missing", "changed")
         if not len(mine) or not len(i):
-            return pd.DataFrame({c: [] for c in cols})
+            return _nothing(*cols)
         total, missing = np.zeros(len(mine)), np.zeros(len(mine), int)
         best: list[list[tuple]] = [[] for _ in mine]
         for start, r in _rolling_matrix(wide.to_numpy(dtype=float), i, j, window):

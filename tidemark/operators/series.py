@@ -135,7 +135,8 @@ class Series:
         return self._repeat(self._lengths().join(per_series, [*self.keys], "left"))
 
     def _lengths(self, *aggregates: Column) -> DataFrame:
-        blocks = F.expr(f"(max({RN}) - 1) div {self.block} + 1").alias("_blocks")
+        # the last block that holds any row, margins included
+        blocks = F.expr(f"(max({RN}) - 1 + {self.before}) div {self.block}").alias("_blocks")
         return self.core().groupBy(*self.keys).agg(blocks, *aggregates)
 
     def _repeat(self, per_series: DataFrame) -> "Series":

@@ -94,7 +94,7 @@ def matrix_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path, wholetext=True)
     lines = raw.select(F.col(FILE).alias("file"), F.filter(F.split("value", r"\r?\n"), lambda x: F.trim(x) != "").alias("lines"))
     names = F.transform(F.slice("lines", 2, 1 << 30), lambda x: F.trim(F.split(x, ",")[0]))
-    head = F.transform(F.slice(F.split(F.col("lines")[0], ","), 2, 1 << 30), F.trim)
+    head = F.transform(F.slice(F.split(F.col("lines")[0], ","), 2, 1 << 30), lambda x: F.trim(x))
     numbered = F.forall(head, lambda h: h.rlike(r"^\d+$"))
     rows = lines.select("file", F.when(numbered, names).otherwise(head).alias("cols"), F.explode(F.slice("lines", 2, 1 << 30)).alias("row"))
     parts = F.split("row", ",", -1)

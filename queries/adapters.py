@@ -188,6 +188,19 @@ NETWORK_DAILY = """network as (
   from events group by 1, 2)"""
 
 
+def many_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily bars per traded part: very many short series."""
+    t = table(spark, folder, "lineitem")
+    return t.groupBy(F.col("l_partkey").alias("symbol"), F.to_date("l_shipdate").alias("date")).agg(
+        F.min("l_extendedprice").alias("open"), F.max("l_extendedprice").alias("high"), F.min("l_extendedprice").alias("low"),
+        F.max("l_extendedprice").alias("close"), F.sum("l_quantity").alias("volume"))
+
+
+MANY_SERIES = """bars as (select l_partkey as symbol, cast(l_shipdate as date) as date, min(l_extendedprice) as open, max(l_extendedprice) as high,
+  min(l_extendedprice) as low, max(l_extendedprice) as close, sum(l_quantity) as volume from lineitem group by 1, 2),
+b as (select *, row_number() over (partition by symbol order by date) as rn from bars)"""
+
+
 # -- company statements --------------------------------------------------------------------------
 
 _INCOME_LINES = [  # line, item, share of revenue or of trade value

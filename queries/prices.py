@@ -80,6 +80,14 @@ def ROUND(column: str, digits: int):
     return Step(lambda s: s.add({column: F.round(column, digits)}))
 
 
+@query("many_series_indicators", f"""with {a.MANY_SERIES} select symbol, date, round({warm(10, 'avg(close)', '').removesuffix(' as ')}, 6) as sma_10,
+  round(case when rn >= 10 then case when max(high) {win(10)} = min(low) {win(10)} then null else -100 * (max(high) {win(10)} - close) / (max(high) {win(10)} - min(low) {win(10)}) end end, 4) as williams_r_10,
+  round((close / lag(close, 10) {LAG} - 1) * 100, 4) as roc_10 from b""")
+def many_series_indicators(spark, d):
+    return compute(a.many_series(spark, d), [ind.sma(10), ind.williams_r(10), ind.roc(10)]).select(
+        "symbol", "date", F.round("sma_10", 6).alias("sma_10"), *[F.round(c, 4).alias(c) for c in ("williams_r_10", "roc_10")])
+
+
 # -- cleaning ------------------------------------------------------------------------------------
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import amount, null_if_nan, ratio
+from tidemark.session import staged
 
 #: Statement item patterns and their canonical names, in matching order.
 INCOME_ITEMS = {
@@ -82,29 +83,30 @@ def parse_statement(df: DataFrame, names: Mapping[str, str], overrides: Mapping[
     return df.withColumns({"item": canonical_item("item", names, overrides), "period": F.lower("period"), "value": amount("text")}).drop("text")
 
 
-def drop_sparse_periods(df: DataFrame) -> DataFrame:
-    """Remove a company's periods with more than 70 % missing values; other gaps become 0."""
-    missing = F.avg(F.col("value").isNull().cast("double")).over(Window.partitionBy(*STATEMENT))
-    kept = df.withColumn("_missing", missing).where(F.col("_missing") <= SPARSE).drop("_missing")
-    return kept.withColumn("value", F.coalesce("value", F.lit(0.0)))
-
-
 def _first(item: str) -> Column:
     """Value of the statement's first line with this item."""
     return F.min_by(F.col("value"), F.when(F.col("item") == item, F.col("line")))
 
 
-def _restate(df: DataFrame, needed: Sequence[str], target: str, expected: Column, reference: Column) -> DataFrame:
-    """Replace the first ``target`` line by ``expected`` where they differ by over 10 % of ``reference``.
+def _with_facts(df: DataFrame, *facts: Column) -> DataFrame:
+    """Add per-(company, period) aggregates to the lines: combined map-side, one small row joined back."""
+    return df.join(df.groupBy(*STATEMENT).agg(*facts), [*STATEMENT])
 
-    One exchange on (company, period): a statement has a few dozen lines.
-    """
-    w = Window.partitionBy(*STATEMENT)
-    out = df.withColumns({f"_{i}": _first(i).over(w) for i in needed})
-    out = out.withColumn("_line", F.min(F.when(F.col("item") == target, F.col("line"))).over(w))
+
+def drop_sparse_periods(df: DataFrame) -> DataFrame:
+    """Remove a company's periods with more than 70 % missing values; other gaps become 0."""
+    missing = F.avg(F.col("value").isNull().cast("double")).alias("_missing")
+    kept = _with_facts(df, missing).where(F.col("_missing") <= SPARSE).drop("_missing")
+    return kept.withColumn("value", F.coalesce("value", F.lit(0.0))).select(*df.columns)
+
+
+def _restate(df: DataFrame, needed: Sequence[str], target: str, expected: Column, reference: Column) -> DataFrame:
+    """Replace the first ``target`` line by ``expected`` where they differ by over 10 % of ``reference``."""
+    line = F.min(F.when(F.col("item") == target, F.col("line"))).alias("_line")
+    out = _with_facts(df, line, *[_first(i).alias(f"_{i}") for i in needed])
     off = F.abs(expected - F.col(f"_{target}")) > TOLERANCE * F.abs(reference)
     fix = (F.col("item") == target) & (F.col("line") == F.col("_line")) & off
-    return out.withColumn("value", F.when(fix, expected).otherwise(F.col("value"))).drop("_line", *[f"_{i}" for i in needed])
+    return out.withColumn("value", F.when(fix, expected).otherwise(F.col("value"))).select(*df.columns)
 
 
 def fix_gross_profit(df: DataFrame) -> DataFrame:
@@ -118,11 +120,11 @@ def fix_total_assets(df: DataFrame) -> DataFrame:
 
 
 def clean_income_statement(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
-    return fix_gross_profit(drop_sparse_periods(parse_statement(df, INCOME_ITEMS, overrides)))
+    return fix_gross_profit(drop_sparse_periods(staged(parse_statement(df, INCOME_ITEMS, overrides))))
 
 
 def clean_balance_sheet(df: DataFrame, overrides: Mapping[str, str] | None = None) -> DataFrame:
-    return fix_total_assets(drop_sparse_periods(parse_statement(df, BALANCE_ITEMS, overrides)))
+    return fix_total_assets(drop_sparse_periods(staged(parse_statement(df, BALANCE_ITEMS, overrides))))
 
 
 # -- ratios --------------------------------------------------------------------------------------
@@ -182,5 +184,5 @@ def normalize_ratios(df: DataFrame) -> DataFrame:
     """Numbers of a long ratio document ``(company, section, ratio, period, text)``; all-NULL ratios go."""
     text = F.when(F.col("text").isin("N/A", "-"), None).otherwise(F.col("text"))
     parsed = df.withColumn("value", null_if_nan(amount(text))).drop("text")
-    some = F.count("value").over(Window.partitionBy("company", "section", "ratio"))
-    return parsed.withColumn("_some", some).where("_some > 0").drop("_some")
+    known = parsed.groupBy("company", "section", "ratio").agg(F.count("value").alias("_known")).where("_known > 0")
+    return parsed.join(known, ["company", "section", "ratio"], "left_semi")

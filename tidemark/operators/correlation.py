@@ -137,20 +137,18 @@ def _sign_sums(pdf: pd.DataFrame) -> pd.DataFrame:
     stretch = pdf.drop_duplicates("date").set_index("date")["_part"].reindex(wide.index).to_numpy()
     x = wide.to_numpy(dtype=float)
     a, b = pdf["_first"].iat[0], pdf["_second"].iat[0]
-    if a == b:
-        t, u = np.triu_indices(len(x), 1)
-    else:
-        left, right = np.flatnonzero(stretch == a), np.flatnonzero(stretch == b)
-        t, u = np.repeat(left, len(right)), np.tile(right, len(left))
-    s = np.sign(x[t] - x[u])
-    both, untied = s.T @ s, (s * s).sum(axis=0)
+    both, untied = np.zeros((x.shape[1],) * 2), np.zeros(x.shape[1])
+    for t in np.flatnonzero(stretch == a):  # one date against the later part (or the later dates of its own)
+        s = np.sign(x[t] - (x[t + 1:] if a == b else x[stretch == b]))
+        both += s.T @ s
+        untied += (s * s).sum(axis=0)
     names = wide.columns.to_numpy()
     return pd.DataFrame({
         "symbol_1": names[i], "symbol_2": names[j], "score": both[i, j], "u1": untied[i], "u2": untied[j],
     })
 
 
-def kendall(df: DataFrame, dates_per_part: int = 64) -> DataFrame:
+def kendall(df: DataFrame, dates_per_part: int = 512) -> DataFrame:
     """Tau-b over complete rows: sums of sign products over pairs of dates.
 
     A task takes two tiles of assets and two parts of the dates, so the quadratic work is spread

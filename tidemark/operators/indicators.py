@@ -27,19 +27,18 @@ def _ema_decay(n: int) -> float:
     return 1 - 2 / (n + 1)
 
 
-def _ema(s: Series, out: str, column: str, n: int, start: int = 1) -> Series:
-    """Average seeded with the value at row ``start``; unmasked."""
-    alpha = 2 / (n + 1)
+def _ema(column: str, n: int, start: int = 1) -> tuple[Column, float]:
+    """Scan step of an average seeded with the value at row ``start``."""
     x = F.col(column)
-    step = F.when(F.col(RN) == start, x).when(F.col(RN) > start, x * alpha).otherwise(F.lit(0.0))
-    return s.exponential(out, step, _ema_decay(n))
+    step = F.when(F.col(RN) == start, x).when(F.col(RN) > start, x * (2 / (n + 1))).otherwise(F.lit(0.0))
+    return step, _ema_decay(n)
 
 
 def ema(n: int, column: str = "close", out: str | None = None) -> Step:
     name = out or f"ema_{n}"
 
     def build(s: Series) -> Series:
-        s = _ema(s, name, column, n)
+        s = s.exponential({name: _ema(column, n)})
         return s.add({name: from_row(n, F.col(name))})
 
     return Step(build, memory(_ema_decay(n)))
@@ -66,16 +65,23 @@ def bollinger(n: int = 20, k: float = 2.0, column: str = "close", names: tuple[s
 # -- momentum ------------------------------------------------------------------------------------
 
 
-def _wilder(s: Series, out: str, column: str, n: int, seed_row: int | None = None) -> Series:
-    """Wilder average: from row 1 with its own value, or from ``seed_row`` with a mean of n values."""
-    x, row = F.col(column), F.col(RN)
-    if seed_row is None:
-        step = F.when(row == 1, x).otherwise(x / n)
-    else:
-        s = s.add({"_seed": F.avg(column).over(s.last_rows(n))})
-        step = F.when(row < seed_row, F.lit(0.0)).when(row == seed_row, F.col("_seed")).otherwise(x / n)
-    s = s.exponential(out, step, 1 - 1 / n)
-    return s if seed_row is None else s.drop("_seed").add({out: from_row(seed_row, F.col(out))})
+def _wilder(columns: dict[str, str], n: int, seed_row: int | None = None):
+    """Wilder averages ``{output: input}``: from row 1 with its own value, or from ``seed_row`` with
+    the mean of the first n values."""
+    row = F.col(RN)
+
+    def build(s: Series) -> Series:
+        if seed_row is None:
+            steps = {out: (F.when(row == 1, F.col(c)).otherwise(F.col(c) / n), 1 - 1 / n) for out, c in columns.items()}
+            return s.exponential(steps)
+        s = s.add({f"_seed_{out}": F.avg(c).over(s.last_rows(n)) for out, c in columns.items()})
+        s = s.exponential({
+            out: (F.when(row < seed_row, F.lit(0.0)).when(row == seed_row, F.col(f"_seed_{out}")).otherwise(F.col(c) / n), 1 - 1 / n)
+            for out, c in columns.items()})
+        s = s.add({out: from_row(seed_row, F.col(out)) for out in columns})
+        return s.drop(*[f"_seed_{out}" for out in columns])
+
+    return build
 
 
 def rsi(n: int = 14, column: str = "close", out: str | None = None) -> Step:
@@ -85,7 +91,7 @@ def rsi(n: int = 14, column: str = "close", out: str | None = None) -> Step:
         change = F.coalesce(F.col(column) - s.lag(column), F.lit(0.0))
         s = s.add({"_change": change})
         s = s.add({"_up": F.greatest("_change", F.lit(0.0)), "_down": F.greatest(-F.col("_change"), F.lit(0.0))})
-        s = _wilder(_wilder(s, "_gain", "_up", n), "_loss", "_down", n)
+        s = _wilder({"_gain": "_up", "_loss": "_down"}, n)(s)
         value = F.when(F.col("_loss") == 0, F.lit(100.0)).otherwise(
             100 - F.lit(100.0) / (1 + ratio(F.col("_gain"), F.col("_loss")))
         )
@@ -101,17 +107,14 @@ def macd(fast: int = 12, slow: int = 26, signal: int = 9, column: str = "close",
     line, sig, hist = names or (f"macd_{tag}", f"macd_signal_{tag}", f"macd_hist_{tag}")
 
     def build(s: Series) -> Series:
-        made = []
-        parts = []
+        names = {}
         for n in (fast, slow):
-            known = f"ema_{n}"
-            if column != "close" or known not in s.df.columns:
-                known = f"_ema_{n}"
-                s = _ema(s, known, column, n)
-                made.append(known)
-            parts.append(F.col(known))
-        s = s.add({line: from_row(slow, parts[0] - parts[1])}).drop(*made)
-        s = _ema(s, sig, line, signal, start=slow)
+            reusable = column == "close" and f"ema_{n}" in s.df.columns
+            names[n] = f"ema_{n}" if reusable else f"_ema_{n}"
+        made = [n for n in (fast, slow) if names[n].startswith("_")]
+        s = s.exponential({names[n]: _ema(column, n) for n in made})
+        s = s.add({line: from_row(slow, F.col(names[fast]) - F.col(names[slow]))}).drop(*[names[n] for n in made])
+        s = s.exponential({sig: _ema(line, signal, start=slow)})
         s = s.add({sig: from_row(slow + signal - 1, F.col(sig))})
         return s.add({hist: F.col(line) - F.col(sig)})
 
@@ -172,7 +175,7 @@ def _true_range(s: Series) -> Column:
 def atr(n: int = 14) -> Step:
     def build(s: Series) -> Series:
         s = s.add({"_tr": _true_range(s)})
-        return _wilder(s, f"atr_{n}", "_tr", n, seed_row=n).drop("_tr")
+        return _wilder({f"atr_{n}": "_tr"}, n, seed_row=n)(s).drop("_tr")
 
     return Step(build, memory(1 - 1 / n) + 1)
 
@@ -192,12 +195,11 @@ def adx(n: int = 14) -> Step:
             "_pdm": F.when((rise > fall) & (rise > 0), rise).otherwise(F.lit(0.0)),
             "_ndm": F.when((fall > rise) & (fall > 0), fall).otherwise(F.lit(0.0)),
         })
-        for name, src in (("_atr", "_tr"), ("_p", "_pdm"), ("_n", "_ndm")):
-            s = _wilder(s, name, src, n, seed_row=n)
+        s = _wilder({"_atr": "_tr", "_p": "_pdm", "_n": "_ndm"}, n, seed_row=n)(s)
         s = s.add({pos: ratio(F.col("_p"), F.col("_atr")) * 100, neg: ratio(F.col("_n"), F.col("_atr")) * 100})
         gap = ratio(F.abs(F.col(pos) - F.col(neg)), F.col(pos) + F.col(neg)) * 100
         s = s.add({"_dx": from_row(n, F.coalesce(gap, F.lit(0.0)))})
-        s = _wilder(s, out, "_dx", n, seed_row=2 * n - 1)
+        s = _wilder({out: "_dx"}, n, seed_row=2 * n - 1)(s)
         return s.drop("_tr", "_rise", "_fall", "_pdm", "_ndm", "_atr", "_p", "_n", "_dx")
 
     return Step(build, 2 * memory(1 - 1 / n) + 1)

@@ -182,22 +182,34 @@ class Series:
 
     # -- exponential scan --------------------------------------------------------------------
 
-    def exponential(self, out: str, step: Column, decay: float) -> "Series":
-        """``y(t) = decay * y(t-1) + step(t)``; ``step`` carries the seed at the first row.
+    def exponential(self, steps: dict[str, tuple[Column, float]]) -> "Series":
+        """``y(t) = decay * y(t-1) + step(t)`` for each ``name: (step, decay)``, in one window pass.
 
-        With weights taken from a fixed origin, ``y(t)`` is ``decay^t`` times a running sum of
-        ``step * decay^-t``. The origin moves every ``span`` rows to keep the weights inside a
-        double; over one span the past has faded to nothing, so one carried value is enough.
+        ``step`` carries the seed at the first row. With weights taken from a fixed origin, ``y(t)``
+        is ``decay^t`` times a running sum of ``step * decay^-t``. Where a block is too long for the
+        weights to stay inside a double, the origin moves every ``span`` rows; over one span the
+        past has faded to nothing, so one carried value is enough.
         """
-        if decay <= 0:
-            return self.add({out: step})
-        span = min(max(2, int(500 / -math.log10(decay))), 2**31)
-        half = span // 2
+        rows = self.block + self.before + self.after
         here = f"({RN} - 1 - {BLK} * {self.block} + {self.before})"
-        if self.block + self.before + self.after <= span:
-            place = F.expr(f"{here} - {half}")
-            total = F.sum(step * F.pow(F.lit(decay), -place)).over(self.so_far())
-            return self.add({out: total * F.pow(F.lit(decay), place)})
+        plain, moving = {}, {}
+        for out, (step, decay) in steps.items():
+            span = 2**31 if decay <= 0 else min(max(2, int(500 / -math.log10(decay))), 2**31)
+            if decay <= 0:
+                plain[out] = step
+            elif rows <= span:
+                place = F.expr(f"{here} - {span // 2}")
+                total = F.sum(step * F.pow(F.lit(decay), -place)).over(self.so_far())
+                plain[out] = total * F.pow(F.lit(decay), place)
+            else:
+                moving[out] = (step, decay, span)
+        s = self.add(plain) if plain else self
+        for out, (step, decay, span) in moving.items():
+            s = s._moving_origin(out, step, decay, span, here)
+        return s
+
+    def _moving_origin(self, out: str, step: Column, decay: float, span: int, here: str) -> "Series":
+        half = span // 2
         s = self.add({"_part": F.expr(f"{here} div {span}"), "_place": F.expr(f"{here} % {span} - {half}"), "_u": step})
         inside = Window.partitionBy(*self.keys, BLK, "_part").orderBy(RN).rowsBetween(Window.unboundedPreceding, 0)
         weighted = F.col("_u") * F.pow(F.lit(decay), -F.col("_place"))

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from queries import adapters as a
+from queries.companies import RATIOS
 from queries.correlations import CLASS_PAIRS, assets
 from queries.loads import asset_table, snapshots
 from queries.prices import LAG, NEAR, RSI_REC, capped_sql, down_sql, up_sql, win
@@ -52,13 +53,27 @@ def stock_batch_all(spark, d):
     return ba.stock_batch(a.bars_daily_dirty(spark, d), tie=["seq"], include_all=True)
 
 
-@query("crypto_batch")
+CRYPTO_CLEAN = f"""{a.COIN_DAILY}, {a.COIN_TOTAL}, {capped_sql('coins', cl.COIN, 4.0, 0.0025, 0.9975)},
+days as (select distinct date from capped),
+near as (select days.date, arg_min(total_market_cap, abs(date_diff('day', totals.date, days.date)) * 2 - (case when totals.date > days.date then 1 else 0 end)) as total from days, totals group by 1),
+x as (select symbol, date, price as close, market_cap, total, row_number() over (partition by symbol order by date) as rn from capped join near using (date)),
+y as (select *, avg(close) over (partition by symbol order by rn rows 49 preceding) as s50, avg(close) over (partition by symbol order by rn rows 199 preceding) as s200 from x),
+z as (select *, max(close) over (partition by symbol order by rn) as top, row_number() over (partition by symbol order by rn) as k from y where rn > 200),
+e as (select *, (close / top - 1) * 100 as down, case when s50 > s200 then 1 when s50 < s200 then -1 else 0 end as trend from z),
+m as (select *, case when down < -60 and trend = -1 then 1 when down < -20 and trend = 1 then 2 when down > -20 and trend = 1 then 3 when down > -10 then 4 when down < -10 and trend = -1 then 5 else 0 end as market_cycle,
+  count(*) over p as np, count(*) over f as nf, max(close) over p as mp, max(close) over f as mf from e
+  window p as (partition by symbol order by rn rows between 10 preceding and 1 preceding), f as (partition by symbol order by rn rows between 1 following and 10 following))"""
+
+
+@query("crypto_batch", f"""with {CRYPTO_CLEAN} select symbol, date, round(close, 6) as close, round(market_cap / total * 100, 6) as market_dominance, round(down, 6) as drawdown_from_ath,
+trend, (coalesce(np = 10 and nf = 10 and close > mp and close > mf, false))::int as local_top, market_cycle,
+case market_cycle when 1 then 'Fondo de Mercado' when 2 then 'Recuperación' when 3 then 'Fase Alcista' when 4 then 'Euforia (Cerca de ATH)' when 5 then 'Fase Bajista' end as market_cycle_label from m""")
 def crypto_batch(spark, d):
     out = ba.crypto_batch(a.coin_daily(spark, d), a.coin_market_total(spark, d))
-    return out.select("symbol", "date", *[F.round(c, 6).alias(c) for c in ("close", "sma_200", "market_dominance", "drawdown_from_ath")], "trend", "local_top", "bubble_indicator", "market_cycle", "market_cycle_label")
+    return out.select("symbol", "date", *[F.round(c, n).alias(c) for c, n in (("close", 6), ("market_dominance", 6), ("drawdown_from_ath", 6))], "trend", "local_top", "market_cycle", "market_cycle_label")
 
 
-@query("company_batch")
+@query("company_batch", f"with {RATIOS} select section, ratio, count(*) as n, round(avg(value), 4) as mean from ratios where value is not null group by 1, 2")
 def company_batch(spark, d):
     out = ba.company_batch(a.income_raw(spark, d), a.balance_raw(spark, d))
     return out["ratios"].groupBy("section", "ratio").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 4).alias("mean"))

@@ -33,6 +33,20 @@ def bars(spark, d):
     return staged(a.bars_daily(spark, d))
 
 
+def peaks_sql(source: str, key: str, pos: str, y: str, height: float, distance: int) -> str:
+    """Strict local maxima (flat tops at their middle), thinned greedily by height, later first on a tie."""
+    return f"""pk_n as (select *, case when lag({y}) over (partition by {key} order by {pos}) = {y} then 0 else 1 end as isnew from {source}),
+pk_r as (select *, sum(isnew) over (partition by {key} order by {pos}) as run from pk_n),
+pk_g as (select {key}, run, (min({pos}) + max({pos})) // 2 as {pos}, min({y}) as {y} from pk_r group by {key}, run),
+pk_w as (select *, lag({y}) over (partition by {key} order by run) as l, lead({y}) over (partition by {key} order by run) as r from pk_g),
+pk_o as (select {key}, {pos}, {y}, row_number() over (partition by {key} order by {y} desc, {pos} desc) as k from pk_w where l < {y} and r < {y} and {y} >= {height}),
+pk_f as (select {key}, k, [{pos}] as kept from pk_o where k = 1
+  union all select pk_o.{key}, pk_o.k, case when list_min(list_transform(kept, lambda q: abs(q - {pos}))) < {distance} then kept else list_append(kept, {pos}) end
+  from pk_f join pk_o on pk_o.{key} = pk_f.{key} and pk_o.k = pk_f.k + 1),
+pk_l as (select {key}, unnest(arg_max(kept, k)) as {pos} from pk_f group by {key}),
+peaks as (select {key}, {pos}, {y} from pk_l join pk_o using ({key}, {pos}))"""
+
+
 N = "count(*) over (partition by symbol) as n"
 
 
@@ -117,6 +131,14 @@ def price_histogram(spark, d):
     return out.select("symbol", "bin", F.round("center", 6).alias("center"), "count")
 
 
+@query("histogram_levels", f"""with recursive {BARS_REC}, {HIST}, {peaks_sql('hg', 'symbol', 'bin', 'c', 0, 3)},
+t as (select *, row_number() over (partition by symbol order by c desc, bin desc) as rank from peaks join (select symbol, max(c) * 0.05 as least from hg group by 1) using (symbol) where c >= least)
+select t.symbol, round(center, 6) as level, rank::int as rank from t join hg using (symbol, bin) where rank <= 3""")
+def histogram_levels(spark, d):
+    out = tr.histogram_levels(tr.price_histogram(tr.recent_rows(bars(spark, d), 20)))
+    return out.select("symbol", F.round("level", 6).alias("level"), "rank")
+
+
 @query("turning_points", f"""with {a.BARS_RN}, {HIST}, ix as (select *, row_number() over (partition by symbol order by rn) - 1 as i,
   max(x) over w as hi, min(x) over w as lo from rc window w as (partition by symbol order by rn rows between 20 preceding and 19 following))
 select symbol, case when x = hi then 'max' else 'min' end as side, x from ix where i >= 20 and i < m - 20 and (x = hi or x = lo)""")
@@ -189,13 +211,27 @@ def return_autocorrelation(spark, d):
     return se.return_autocorrelation(a.bars_daily(spark, d)).select("symbol", "lag", F.round("acf", 6).alias("acf"), "rows")
 
 
-@query("seasonal_periods")
+RET_ACF = f"""q as (select symbol, rn - 1 as k, close / lag(close) {LAG} - 1 as r from b), r as (select * from q where r is not null),
+l as (select symbol, count(*) as n from r group by 1),
+xl as materialized (select r.symbol, lag::int as lag, k - lag as kk, r, n from r join l using (symbol), range(1, 366) g(lag) where lag < n // 3),
+acf as materialized (select xl.symbol, lag, corr(xl.r, y.r) as c, max(n) as n from xl join r y on y.symbol = xl.symbol and y.k = kk group by 1, 2)"""
+
+
+@query("seasonal_periods", f"""with recursive {BARS_REC}, {RET_ACF}, {peaks_sql('acf', 'symbol', 'lag', 'c', 0.03, 5)},
+s as (select symbol, lag as period, c, abs(c) / (1.96 / sqrt(n)) as sig from peaks join (select symbol, max(n) as n from acf group by 1) using (symbol))
+select symbol, period, (row_number() over (partition by symbol order by sig desc, period))::int as rank, round(c, 6) as correlation, round(sig, 6) as significance from s where sig > 1""")
 def seasonal_periods(spark, d):
     out = se.seasonal_periods(bars(spark, d), height=0.03)
     return rnd(out, 6, "correlation", "significance", keep=("symbol", "period", "rank"))
 
 
-@query("detect_period")
+LEVEL_ACF = """l as (select symbol, count(*) as n from b group by 1),
+xl as materialized (select b.symbol, lag::int as lag, rn - lag as k, close, n from b join l using (symbol), range(1, 366) g(lag) where lag <= n // 3),
+acf as materialized (select xl.symbol, lag, corr(xl.close, y.close) as c from xl join b y on y.symbol = xl.symbol and y.rn = k group by 1, 2)"""
+
+
+@query("detect_period", f"""with recursive {BARS_REC}, {LEVEL_ACF}, {peaks_sql('acf', 'symbol', 'lag', 'c', 0.1, 5)}
+select l.symbol, coalesce(min(lag), 30) as period from l left join peaks on peaks.symbol = l.symbol group by 1""")
 def detect_period(spark, d):
     return se.detect_period(bars(spark, d))
 

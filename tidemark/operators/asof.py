@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import _drop_neighbours, _neighbours
-from tidemark.operators.series import RN, lay_out
+from tidemark.operators.cleaning import _neighbours
+from tidemark.operators.series import lay_out
 
 
 def nearest_by_date(df: DataFrame, known: DataFrame, value: str, order: str = "date", block_rows: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import non_negative, numeric_columns, ratio
+from tidemark.functions.columns import nan_to_null, non_negative, numeric_columns, ratio
 from tidemark.operators.series import KEYS, RN, Series, Step, compute, exact_quantiles, lay_out
 from tidemark.session import staged
 
@@ -130,7 +130,7 @@ def order_high_low(df: DataFrame) -> DataFrame:
 
 def _clean(df, columns, rule, missing, outliers, tie, keys, order, block_rows) -> DataFrame:
     present = [c for c in columns if c in df.columns]
-    out = staged(dedupe_first(df, tie, keys, order))
+    out = staged(dedupe_first(nan_to_null(df), tie, keys, order))
     if missing == "drop":
         out = drop_missing(out)
     s = lay_out(out, keys=keys, order=order, block_rows=block_rows)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
-from tidemark.operators.series import BLK, RN, Series, compute, lay_out, with_ordinal, Step
+from tidemark.operators.series import BLK, RN, Step, compute, lay_out, with_ordinal
 from tidemark.session import staged
 
 PAIR = ("symbol_1", "symbol_2")
@@ -42,7 +42,7 @@ def complete_rows(df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     return known.join(full, [*groups, "date"], "left_semi")
 
 
-def _tiled(df: DataFrame, groups: Sequence[str], per_tile: int) -> DataFrame:
+def _tiled(df: DataFrame, per_tile: int) -> DataFrame:
     """Send each row to the tile pairs its asset takes part in, as ``_lo <= _hi``."""
     count = df.select("asset").distinct().agg(F.ceil(F.count(F.lit(1)) / per_tile).cast("int").alias("n"))
     tiles = df.withColumn("_tiles", F.greatest(count.scalar(), F.lit(1)))
@@ -108,7 +108,7 @@ def _corr_from_sums() -> Column:
 def pairwise(df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """Pearson correlation of every pair over the rows both have: ``(…, symbol_1, symbol_2, corr, n)``."""
     groups = list(groups)
-    rows = _tiled(_centred(df.where(F.col("value").isNotNull()), groups), groups, TILE_ASSETS)
+    rows = _tiled(_centred(df.where(F.col("value").isNotNull()), groups), TILE_ASSETS)
     rows = rows.withColumn("_stretch", F.floor(F.unix_date("date") / DAYS_PER_STRETCH).cast("int"))
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     schema = ", ".join([f"{g} {kinds[g]}" for g in groups] + [
@@ -162,7 +162,7 @@ def kendall(df: DataFrame, dates_per_part: int = 512) -> DataFrame:
     placed = rows.join(numbered, "date").withColumn("_parts", parts.scalar())
     placed = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
     placed = placed.withColumns({"_first": F.least("_part", "_with"), "_second": F.greatest("_part", "_with")})
-    tiled = _tiled(placed.drop("_with"), [], TILE_ASSETS)
+    tiled = _tiled(placed.drop("_with"), TILE_ASSETS)
     sums = tiled.groupBy("_lo", "_hi", "_first", "_second").applyInPandas(
         _sign_sums, "symbol_1 string, symbol_2 string, score double, u1 double, u2 double")
     total = sums.groupBy(*PAIR).agg(F.sum("score").alias("s"), F.sum("u1").alias("u1"), F.sum("u2").alias("u2"))
@@ -255,7 +255,7 @@ def _in_blocks(df: DataFrame, before: int, after: int) -> tuple[DataFrame, int]:
     dates = df.select("date").distinct().withColumn("_all", F.lit(1))
     block = max(DATES_PER_BLOCK, 2 * (before + after))
     laid = lay_out(dates, before, after, keys=("_all",), block_rows=block)
-    return _tiled(df.join(laid.df.drop("_all"), "date"), [], ROLLING_TILE_ASSETS), block
+    return _tiled(df.join(laid.df.drop("_all"), "date"), ROLLING_TILE_ASSETS), block
 
 
 def _row_numbers(pdf: pd.DataFrame, index: pd.Index) -> np.ndarray:

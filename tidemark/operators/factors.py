@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.correlation import PAIR, complete_rows
+from tidemark.operators.correlation import complete_rows
 from tidemark.session import staged
 
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
-from tidemark.operators.series import BLK, KEYS, RN, Series, Step, compute, lay_out
+from tidemark.operators.series import BLK, KEYS, RN, Step, compute, lay_out
 from tidemark.operators.trend import find_peaks, with_length
 
 MAX_LAG = 365

@@ -33,26 +33,29 @@ SLICE_DAYS = 1024
 SLICE_SECONDS = 2**20
 
 
-def _slice(df: DataFrame, order: str) -> Column:
+def _slice(df: DataFrame, order: str, width: float | None) -> Column:
     kind = df.schema[order].dataType
     if isinstance(kind, T.DateType):
-        return F.floor(F.unix_date(order) / SLICE_DAYS).cast("long")
+        return F.floor(F.unix_date(order) / (width or SLICE_DAYS)).cast("long")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.floor(F.unix_seconds(F.col(order).cast("timestamp")) / SLICE_SECONDS).cast("long")
+        micros = F.unix_micros(F.col(order).cast("timestamp"))
+        return F.floor(micros / ((width or SLICE_SECONDS) * 1e6)).cast("long")
     if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(order) / SLICE_DAYS).cast("long")
+        return F.floor(F.col(order) / (width or SLICE_DAYS)).cast("long")
     raise TypeError(f"cannot number rows by {order}: {kind.simpleString()}")
 
 
 def with_ordinal(
-    df: DataFrame, keys: Sequence[str] = KEYS, order: str = "date", out: str = RN
+    df: DataFrame, keys: Sequence[str] = KEYS, order: str = "date", out: str = RN, slice_width: float | None = None
 ) -> DataFrame:
     """Number each series 1, 2, … by ``order`` without sending a whole series to one task.
 
     Rows are numbered inside calendar slices; the slice sizes, one small row each, give the offset
-    that the slices before add. ``(keys, order)`` must be unique and not NULL.
+    that the slices before add. ``(keys, order)`` must be unique and not NULL. ``slice_width`` is in
+    days, seconds or units of an integer order; make it smaller for rows denser than one a second.
+    ``df`` is read twice, once for its keys only: pass a table or a staged result if it is costly.
     """
-    sliced = df.withColumn("_slice", _slice(df, order))
+    sliced = df.withColumn("_slice", _slice(df, order, slice_width))
     sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -233,6 +236,7 @@ def lay_out(
     keys: Sequence[str] = KEYS,
     order: str = "date",
     block_rows: int | None = None,
+    slice_width: float | None = None,
 ) -> Series:
     """Number the rows and place them in blocks with ``before``/``after`` margin rows each.
 
@@ -240,7 +244,7 @@ def lay_out(
     copied.
     """
     block = block_rows or max(BLOCK_ROWS, 4 * (before + after))
-    numbered = with_ordinal(df, keys, order)
+    numbered = with_ordinal(df, keys, order, slice_width=slice_width)
     index = f"({RN} - 1)"
     if before or after:
         targets = f"sequence(greatest({index} - {after}, 0) div {block}, ({index} + {before}) div {block})"
@@ -266,6 +270,7 @@ def compute(
     order: str = "date",
     block_rows: int | None = None,
     keep_ordinal: str | None = None,
+    slice_width: float | None = None,
 ) -> DataFrame:
     """Run steps over one shared layout. Later stages may use columns of earlier ones.
 
@@ -275,7 +280,7 @@ def compute(
     groups = [[g] if isinstance(g, Step) else list(g) for g in stages]
     back = sum(max((s.back for s in g), default=0) for g in groups)
     ahead = sum(max((s.ahead for s in g), default=0) for g in groups)
-    series = lay_out(df, back, ahead, keys, order, block_rows)
+    series = lay_out(df, back, ahead, keys, order, block_rows, slice_width)
     for group in groups:
         for step in group:
             series = step.build(series)

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import flag, ratio
-from tidemark.operators.series import RN, Series, Step, exact_quantiles
+from tidemark.functions.columns import flag
+from tidemark.operators.series import Series, Step, exact_quantiles
 
 
 def _level(value) -> Column:

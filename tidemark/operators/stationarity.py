@@ -14,7 +14,6 @@ from tidemark.functions.columns import ratio
 from tidemark.operators import indicators as ind
 from tidemark.operators.seasonality import BLOCK_ROWS_FOR_LAGS, lag_sums
 from tidemark.operators.series import BLK, KEYS, RN, compute, lay_out
-from tidemark.operators.trend import with_length
 
 #: Published KPSS level-stationarity critical values and their p-values.
 KPSS_CRITICAL = (0.347, 0.463, 0.574, 0.739)
@@ -31,7 +30,7 @@ ADF_CRITICAL = {
 }
 
 
-def kpss(df: DataFrame, column: str = "close", max_lag: int = 365, keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
+def kpss(df: DataFrame, column: str = "close", max_lag: int = 1024, keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
     """Statistic of the level residuals with Bartlett weights and data-driven lag count.
 
     ``p_clipped`` says that the statistic lies outside the published table. A series that asks for

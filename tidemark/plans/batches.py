@@ -18,7 +18,6 @@ from tidemark.operators import seasonality as se
 from tidemark.operators import signals as sig
 from tidemark.operators import stationarity as st
 from tidemark.operators import trend as tr
-from tidemark.operators import upsert as up
 from tidemark.operators.asof import nearest_by_date
 from tidemark.operators.series import KEYS, RN, Series, Step, compute
 from tidemark.session import staged

@@ -29,21 +29,17 @@ CRYPTO_SMA, CRYPTO_EMA = (7, 21, 50, 200), (7, 21, 50, 100)
 TRIM = 200
 
 
-def _blank_start(rows: int, columns: Sequence[str] | None = None) -> Step:
-    """Make the first ``rows`` rows unknown, so that what follows sees a series starting after them."""
+def _blank_start(rows: int, keep: Sequence[str]) -> Step:
+    """Make all but the ``keep`` columns unknown in the first ``rows`` rows, so that the signals after
+    it see a series that starts there."""
 
     def build(s: Series) -> Series:
-        names = columns or [c for c in s.df.columns if not c.startswith("_") and c not in (*s.keys, s.order)]
+        names = [c for c in s.df.columns if not c.startswith("_") and c not in keep]
         return s.add({c: F.when(F.col(RN) > rows, F.col(c)) for c in names})
 
     return Step(build)
 
 
-def _blank_new(rows: int, before: Sequence[str]) -> Step:
-    """As :func:`_blank_start`, keeping the columns in ``before`` as they are."""
-    return Step(lambda s: _blank_start(rows, [c for c in s.df.columns if not c.startswith("_") and c not in before]).build(s))
-
-
 # -- stocks --------------------------------------------------------------------------------------
 
 
@@ -82,7 +78,7 @@ def technical_indicators(df: DataFrame, periods=None, include_all=False, signals
         if "sma_20" not in made:
             stages[0].append(ind.sma(20))
             made.append("sma_20")
-        stages += [[_blank_new(cut, df.columns)], stock_signals(made), [sig.combined_signal()]]
+        stages += [[_blank_start(cut, df.columns)], stock_signals(made), [sig.combined_signal()]]
     out = compute(df, *stages, keys=keys, order=order, block_rows=block_rows, keep_ordinal="_n")
     return out.where(F.col("_n") > cut).drop("_n")
 
@@ -124,12 +120,10 @@ def crypto_batch(df: DataFrame, total_market_cap: DataFrame | None = None, missi
     if total_market_cap is not None:
         out = nearest_by_date(staged(out), total_market_cap, "total_market_cap")
     out = staged(out)
-    cut = trim or 0
-    stages = crypto_indicators(out.columns)
-    if cycles:
-        stages += [[_blank_start(cut)], [ind.drawdown(), sig.local_extrema()], [sig.phase_flags(), sig.market_cycle(), sig.bubble_flag()]]
-    out = compute(out, *stages, keep_ordinal="_n")
-    return out.where(F.col("_n") > cut).drop("_n")
+    out = compute(out, *crypto_indicators(out.columns), keep_ordinal="_n").where(F.col("_n") > (trim or 0)).drop("_n")
+    if not cycles:
+        return out
+    return compute(staged(out), [ind.drawdown(), sig.local_extrema()], [sig.phase_flags(), sig.market_cycle(), sig.bubble_flag()])
 
 
 # -- companies -----------------------------------------------------------------------------------

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality_rules
+from tidemark.llm import packing, quality_rules
 
 Q = {
+    "op4_packing": packing.query,
     "op8_quality_rules": quality_rules.query,
 }
 SQL = {

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import packing, quality_rules
+from tidemark.llm import fingerprints, packing, quality_rules
 
 Q = {
     "op4_packing": packing.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_fingerprints": fingerprints.query,
 }
 SQL = {
     "op8_quality_rules": quality_rules.SQL,
+    "op9_fingerprints": fingerprints.SQL,
 }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import fingerprints, packing, quality_rules
+from tidemark.llm import fingerprints, packing, quality_model, quality_rules
 
 Q = {
     "op4_packing": packing.query,
+    "op5_quality_model": quality_model.query,
     "op8_quality_rules": quality_rules.query,
     "op9_fingerprints": fingerprints.query,
 }

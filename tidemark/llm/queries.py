@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import fingerprints, jaccard_join, packing, personal_data, quality_model, quality_rules
+from tidemark.llm import fingerprints, jaccard_join, licences, packing, personal_data, quality_model, quality_rules
 
 Q = {
     "op2_jaccard_join": jaccard_join.query,
@@ -11,8 +11,10 @@ Q = {
     "op5_quality_model": quality_model.query,
     "op8_quality_rules": quality_rules.query,
     "op9_fingerprints": fingerprints.query,
+    "op10_licences": licences.query,
 }
 SQL = {
     "op8_quality_rules": quality_rules.SQL,
     "op9_fingerprints": fingerprints.SQL,
+    "op10_licences": licences.SQL,
 }

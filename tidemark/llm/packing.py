@@ -18,6 +18,7 @@ so a task that is run again after a lost executor makes the same pieces for the
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 
 import numpy as np
@@ -37,26 +38,69 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Marks that the tokenizer splits from a letter before them; those of its special tokens are not among them.
+MARKS = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
+#: Letters whose lower case depends on the library or the place.
+_UNEVEN = frozenset("\u0130\u03a3")
+#: Byte-level models show a byte as the character of its number if printable, all others as those from 256 on, in order.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SHOWN = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
+
 class WordTable:
-    """Token ids of words as little-endian bytes, filled from the tokenizer in batches of unknown words."""
+    """Token ids of words as little-endian bytes, filled from the tokenizer in batches of unknown words.
+
+    A word and the marks after it are tokenized apart, ASCII words in lower case, as the tokenizer itself does; so the
+    forms of a word cost one call. What was used since the last but one filling stays.
+    """
 
     def __init__(self, path: str, remember: int = REMEMBER):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.remember, self.known = Tokenizer.from_file(path), remember, {"": b""}
+        self.tokenizer, self.remember = Tokenizer.from_file(path), remember
+        self.model = Tokenizer(self.tokenizer.model)
+        self.known: dict[str, bytes] = {"": b""}
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").split(" ")
         try:
             return b"".join(map(self.known.__getitem__, words))
         except KeyError:
-            if len(self.known) > self.remember:
-                self.known = {"": b""}
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.known[word] = np.asarray(coded.ids, "<u4").tobytes()
-            return b"".join(map(self.known.__getitem__, words))
+            self._learn([w for w in dict.fromkeys(words) if w not in self.known])
+            out = b"".join(map(self.known.__getitem__, words))
+        if len(self.known) > self.remember:
+            self.known = {"": b""}
+        if len(self.young) > self.remember:
+            self.young, self.old = {"": b""}, self.young
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        split = []
+        for w in new:
+            core = w.rstrip(MARKS)
+            if not core or core is w or not core[-1].isalpha():
+                core = w
+            split.append((w, core.lower() if core.isascii() and "<" not in core else core, w[len(core):]))
+        young, old = self.young, self.old
+        unknown = []
+        for part in dict.fromkeys(p for _, core, tail in split for p in (core, tail)):
+            if part not in young:
+                if part in old:
+                    young[part] = old[part]
+                else:
+                    unknown.append(part)
+        # Of words of letters alone only their bytes matter to the model, so these skip the text rules before it.
+        plain = [p for p in unknown if p.isalpha() and (p.isascii() or (unicodedata.is_normalized("NFC", p) and not _UNEVEN.intersection(p)))]
+        other = list(set(unknown).difference(plain))
+        shown = [p if p.isascii() else p.lower().encode().decode("latin-1").translate(_SHOWN) for p in plain]
+        for parts, tokenizer, given in ((plain, self.model, shown), (other, self.tokenizer, other)):
+            for part, coded in zip(parts, tokenizer.encode_batch_fast(given, add_special_tokens=False), strict=True):
+                young[part] = np.asarray(coded.ids, "<u4").tobytes()
+        for w, core, tail in split:
+            self.known[w] = young[core] + young[tail]
 
 
 _tables: dict[str, WordTable] = {}

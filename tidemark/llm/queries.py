@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import fingerprints, jaccard_join, licences, packing, personal_data, quality_model, quality_rules
+from tidemark.llm import fingerprints, jaccard_join, licences, packing, personal_data, quality_model, quality_rules, repeats
 
 Q = {
+    "op1_suffix_dedup": repeats.query,
     "op2_jaccard_join": jaccard_join.query,
     "op3_personal_data": personal_data.query,
     "op4_packing": packing.query,

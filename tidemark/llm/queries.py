@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import fingerprints, jaccard_join, licences, packing, personal_data, piece_transducer, quality_model, quality_rules, repeats
+from tidemark.llm import fingerprints, jaccard_join, licences, main_text, packing, personal_data, piece_transducer, quality_model, quality_rules, repeats
 
 Q = {
     "op1_suffix_dedup": repeats.query,
@@ -10,6 +10,7 @@ Q = {
     "op3_personal_data": personal_data.query,
     "op4_packing": packing.query,
     "op5_quality_model": quality_model.query,
+    "op6_main_text": main_text.query,
     "op7_piece_transducer": piece_transducer.query,
     "op8_quality_rules": quality_rules.query,
     "op9_fingerprints": fingerprints.query,

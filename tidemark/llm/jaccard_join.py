@@ -163,14 +163,14 @@ def _verify(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
-def link(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 3, percent: int = 90) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) -> DataFrame:
+    """``doc, sig, n, root`` for every row of ``docs``: its set's signature and size, and the component's signature (NULL: no shingles)."""
     spark = docs.sparkSession
     scanned = staged(scan(docs, text, key, size))
     counts = spark.sparkContext.broadcast(_sketches(scanned))  # 4 bytes a cell, whatever the corpus
     sets = scanned.filter("cell is null").select("doc", "sig", "n")
 
-    # Tokens that at least two distinct sets have in a prefix under the same order.
+    # Tokens that at least two distinct sets have in a prefix under the same order. What a token's row carries is fixed by its set.
     by_token = Window.partitionBy("token", "order")
     shared = prefixes(docs, text, counts, size, percent).repartition("token").dropDuplicates(["token", "sig", "info"])
     shared = shared.select("token", "sig", F.expr("info div 8").alias("n"), F.expr("(info div 2) % 4").alias("order"), (F.col("info") % 2 == 1).alias("short"))
@@ -213,14 +213,35 @@ def link(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 3
     links = placed.groupBy("root", "level", "part", "other", "other_part").applyInPandas(lambda rows: _verify(rows, percent), "a long, b long")
     joined = components(links)
 
-    # The smallest id among all rows of all sets that are connected.
-    named = sets.join(joined.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
-        "root", F.when(F.col("n") == 0, None).otherwise(F.coalesce("root", "sig")))
+    return sets.join(joined.withColumnRenamed("node", "sig"), "sig", "left").select(
+        "doc", "sig", "n", F.when(F.col("n") > 0, F.coalesce("root", "sig")).alias("root"))
+
+
+def link(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 3, percent: int = 90) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``; a component is named by its smallest id."""
+    named = _connected(docs, text, key, size, percent)
     least = named.filter("n > 0").groupBy("root").agg(F.min("doc").alias("least"))
     return named.join(least, "root", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc")).otherwise(F.col("least")).alias("component_id"))
 
 
+def deduplicate(docs: DataFrame, text: str = "text", key: str = "doc_id", size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each component, that with the smallest id (NULL ids last); documents without words all stay."""
+    named = _connected(docs, text, key, size, percent)
+    stay = named.filter("n > 0").groupBy("root").agg(F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "sig")).alias("m")).select("m.doc", "m.sig")
+
+    @F.pandas_udf("long")
+    def signature(texts: pd.Series) -> pd.Series:
+        return pd.Series([_signature(shingle_set(t, size)) for t in texts], dtype="int64")
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{key}`").cast("long").alias("_id"), signature(F.col(f"`{text}`")).alias("_sig"))
+    empty = _signature(np.empty(0, np.uint64))
+    kept = rows.join(staged(stay), (F.col("_sig") == F.col("sig")) & F.col("_id").eqNullSafe(F.col("doc")), "left_semi")
+    # Rows that agree in id and words are one document.
+    once = Window.partitionBy("_id", "_sig").orderBy(F.xxhash64("_row"))
+    return kept.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select("_row").union(rows.filter(F.col("_sig") == empty).select("_row")).select("_row.*")
+
+
 def _marked(family: DataFrame) -> np.ndarray:
     """A bitmap of fixed size with a bit set for every signature of the table."""
     bits = np.zeros(MARKS, bool)

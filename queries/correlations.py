@@ -44,9 +44,9 @@ def align_outer(spark, d):
 
 
 @query("align_cross_class", f"""with {a.PRICES_LONG} select x.date, x.symbol as stock, y.symbol as coin, x.value as stock_value, y.value as coin_value
-from prices x join prices y on x.date = y.date where x.asset_class = 'stock' and y.asset_class = 'crypto' and x.date between date '1996-01-01' and date '1998-12-31'""")
+from prices x join prices y on x.date = y.date where x.asset_class = 'stock' and y.asset_class = 'crypto'""")
 def align_cross_class(spark, d):
-    p = staged(a.prices_long(spark, d).where(F.col("date").between(F.lit("1996-01-01").cast("date"), F.lit("1998-12-31").cast("date"))))
+    p = staged(a.prices_long(spark, d))
     left = p.where("asset_class = 'stock'").select("date", F.col("symbol").alias("stock"), F.col("value").alias("stock_value"))
     right = p.where("asset_class = 'crypto'").select("date", F.col("symbol").alias("coin"), F.col("value").alias("coin_value"))
     return left.join(right, "date")

@@ -197,12 +197,16 @@ def html_filing_rows(spark, d):
     return html.filing_rows(docs.select("company", page.alias("html")), limit=5)
 
 
-@query("html_pages_without_tables", "select page_id, 0::bigint as rows from pages where false")
-def html_pages_without_tables(spark, d):
-    pages = a.table(spark, d, "pages").select("page_id", "html")
-    rows = html.statement_rows(pages, keys=("page_id",)).select("page_id").unionByName(html.filing_rows(pages, keys=("page_id",)).select("page_id")).unionByName(
-        html.ratio_rows(pages, keys=("page_id",)).select("page_id"))
-    return rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("rows"))
+@query("html_page_links", """with l as (select page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) as link,
+unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2)) as name, unnest(range(1, 1 + len(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>')))) as rank from pages)
+select page_id, rank::int as rank, trim(replace(replace(name, '&quot;', '"'), '&amp;', '&')) as filing_type, 'https://www.sec.gov' || link as filing_link from l where rank <= 4""")
+def html_page_links(spark, d):
+    """The menu of every stored page, read through the filings reader after its markup is turned into that table."""
+    pages = a.table(spark, d, "pages")
+    row = '<tr><td>$2</td><td><a id="documentsbutton" href="$1">go</a></td><td></td><td></td></tr>'
+    menu = F.regexp_replace(F.regexp_replace("html", "<li><a href=\"([^\"]*)\">([^<]*)</a></li>", row), "<ul>", "<table id=m class='wide tableFile2'><tr><th>Menu</th></tr>")
+    filings = html.filing_rows(pages.select("page_id", F.replace(menu, F.lit("</ul>"), F.lit("</table>")).alias("html")), limit=4, keys=("page_id",))
+    return filings.select("page_id", "rank", "filing_type", "filing_link")
 
 
 # -- gates ---------------------------------------------------------------------------------------

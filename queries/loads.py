@@ -84,6 +84,18 @@ def upsert_twice(spark, d):
     return sinks.upsert_star(spark, root, "stock_price", incoming)
 
 
+@query("upsert_repeated_keys", f"""with {SNAP} select asset_id, trade_date, low_price, close_price - case when day(trade_date) = 3 then 1 else 0 end as close_price,
+case when year(trade_date) >= 1999 then 'inserted' when day(trade_date) = 3 then 'updated' else 'ignored' end as action from ids where asset_id is not null""")
+def upsert_repeated_keys(spark, d):
+    """Two records per key, the last of which counts even where its values are lower."""
+    bars, ids = staged(a.bars_daily(spark, d)), asset_table(spark, d)
+    rows = staged(up.stock_price_rows(up.with_asset_id(bars, ids)[0]))
+    last = rows.withColumn("close_price", F.when(F.dayofmonth("trade_date") == 3, F.col("close_price") - 1).otherwise(F.col("close_price"))).withColumn("seq", F.lit(2))
+    first = rows.withColumns({"close_price": F.col("close_price") + 5, "low_price": F.col("low_price") + 1, "seq": F.lit(1)})
+    merged = up.merge(rows.where(F.year("trade_date") < 1999), last.unionByName(first), ["asset_id", "trade_date"], "seq")
+    return merged.select("asset_id", "trade_date", "low_price", "close_price", "action")
+
+
 @query("upsert_coin_market", f"""with {a.COIN_DAILY}, mg as (select symbol, date as trade_date, price as price_usd, market_cap, volume as volume_24h,
 case when year(date) < 1998 then 'kept' when year(date) < 2000 then case when day(date) = 7 then 'updated' else 'ignored' end else 'inserted' end as action from coins)
 select symbol, trade_date, case when action in ('updated') then price_usd + 1 when action = 'inserted' and day(trade_date) = 7 then price_usd + 1 else price_usd end as price_usd, market_cap, volume_24h, action from mg""")

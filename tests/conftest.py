@@ -1,17 +1,18 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+os.environ["PYTHONPATH"] = os.pathsep.join([sys.path[0], *filter(None, [os.environ.get("PYTHONPATH")])])  # for the workers
 
 from tidemark.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="3", spark__ui__enabled="false", spark__driver__memory="4g",
-                            spark__sql__codegen__wholeStage="false")  # tiny frames: compiling costs more than running
+    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="3", spark__ui__enabled="false", spark__driver__memory="4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -213,16 +213,22 @@ def period_change(df: DataFrame) -> DataFrame:
 
 
 def cross_class(df: DataFrame, class_pairs: Sequence[tuple[str, str]], min_rows: int = 10) -> DataFrame:
-    """Correlation between two asset classes over the dates complete in both (more than ``min_rows``)."""
+    """Correlation between two asset classes over the dates complete in both.
+
+    A class pair needs more than ``min_rows`` dates on which both classes have rows, complete or not.
+    """
     blocks = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in class_pairs])
     mine = F.filter(blocks, lambda p: (p["a"] == F.col("asset_class")) | (p["b"] == F.col("asset_class")))
     rows = df.withColumn("_b", F.explode(mine)).withColumn("block", F.concat_ws("_", "_b.a", "_b.b")).drop("_b")
     matrix = pearson(rows, ["block"])
+    shared = rows.where(F.col("value").isNotNull()).groupBy("block", "date").agg(F.count_distinct("asset_class").alias("k")).where("k = 2")
+    enough = shared.groupBy("block").agg(F.count(F.lit(1)).alias("dates")).where(F.col("dates") > min_rows)
+    matrix = matrix.join(enough.select("block"), "block", "left_semi")
     classes = df.select("asset", "asset_class").distinct()
     one = classes.select(F.col("asset").alias("symbol_1"), F.col("asset_class").alias("class_1"))
     two = classes.select(F.col("asset").alias("symbol_2"), F.col("asset_class").alias("class_2"))
     return matrix.join(one, "symbol_1").join(two, "symbol_2").where(
-        (F.col("class_1") != F.col("class_2")) & (F.col("n") > min_rows))
+        F.col("class_1") != F.col("class_2"))
 
 
 # -- rolling windows -----------------------------------------------------------------------------
@@ -378,9 +384,12 @@ def adjacent_difference(df: DataFrame, window: int = 30, threshold: float = 0.3,
     """Per date, the mean |correlation after − before| over all pairs, and the ``top`` changed pairs.
 
     Before: the ``window`` rows up to the previous one; after: the ``window`` rows from this one.
-    A date where some pair has no correlation gives NULL.
+    A date where some pair has no correlation gives NULL. All pairs of the whole input count, also those
+    of assets without a row near the date, so block and tile sizes do not matter.
     """
-    placed, block = _in_blocks(df.where(F.col("value").isNotNull()), window, window - 1)
+    known = df.where(F.col("value").isNotNull())
+    assets = known.select("asset").distinct().agg((F.count(F.lit(1)) * (F.count(F.lit(1)) - 1) / 2).cast("long").alias("all_pairs"))
+    placed, block = _in_blocks(known, window, window - 1)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         wide, i, j = _sides(pdf)
@@ -415,8 +424,9 @@ def adjacent_difference(df: DataFrame, window: int = 30, threshold: float = 0.3,
         "array_sort(changed, (l, r) -> case when l.change > r.change then -1 when l.change < r.change then 1"
         " when l.symbol_1 < r.symbol_1 then -1 when l.symbol_1 > r.symbol_1 then 1"
         " when l.symbol_2 < r.symbol_2 then -1 when l.symbol_2 > r.symbol_2 then 1 else 0 end)")
+    complete = (F.col("missing") == 0) & (F.col("pairs") == assets.scalar())
     return daily.select(
-        "date", F.when(F.col("missing") == 0, F.col("total") / F.col("pairs")).alias("difference"),
+        "date", F.when(complete, F.col("total") / F.col("pairs")).alias("difference"),
         F.slice(ranked, 1, top).alias("changed"))
 
 

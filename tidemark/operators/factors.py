@@ -19,9 +19,16 @@ def average_linkage(matrix: DataFrame, clusters: int = 3, groups: Sequence[str]
     Every round merges all pairs that are each other's nearest neighbour at once, which for average
     linkage gives the same tree as merging one pair at a time, in few rounds and with joins only.
     The tree is then cut by undoing its highest merges. A cluster is named by its smallest member
-    and numbered in that order. All pairs must have a correlation.
+    and numbered in that order. Assets without any known correlation (constant ones) are left out;
+    a pair of other assets without one fails the job with its names.
     """
     g = list(groups)
+    ends = matrix.select(*g, F.explode(F.array("symbol_1", "symbol_2")).alias("symbol"), F.col("corr").isNotNull().alias("known"))
+    dead = ends.groupBy(*g, "symbol").agg(F.max("known").alias("known")).where("not known").select(*g, "symbol")
+    for side in ("symbol_1", "symbol_2"):
+        matrix = matrix.join(dead.withColumnRenamed("symbol", side), [*g, side], "left_anti")
+    named = F.raise_error(F.concat(F.lit("no correlation of "), "symbol_1", F.lit(" and "), "symbol_2"))
+    matrix = matrix.withColumn("corr", F.when(F.col("corr").isNull(), named.cast("double")).otherwise(F.col("corr")))
     edges = matrix.select(*g, F.col("symbol_1").alias("a"), F.col("symbol_2").alias("b"), (1 - F.abs("corr")).alias("d"))
     edges = staged(edges.unionByName(edges.select(*g, F.col("b").alias("a"), F.col("a").alias("b"), "d")).withColumn("w", F.lit(1.0)))
     start = F.array(F.struct(F.lit(0.0).cast("double").alias("height"), F.col("a").alias("name")))

@@ -14,6 +14,7 @@ from tidemark.functions.columns import ratio
 from tidemark.operators import indicators as ind
 from tidemark.operators.seasonality import BLOCK_ROWS_FOR_LAGS, lag_sums
 from tidemark.operators.series import BLK, KEYS, RN, compute, lay_out
+from tidemark.session import staged
 
 #: Published KPSS level-stationarity critical values and their p-values.
 KPSS_CRITICAL = (0.347, 0.463, 0.574, 0.739)
@@ -30,11 +31,11 @@ ADF_CRITICAL = {
 }
 
 
-def kpss(df: DataFrame, column: str = "close", max_lag: int = 1024, keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
+def kpss(df: DataFrame, column: str = "close", keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
     """Statistic of the level residuals with Bartlett weights and data-driven lag count.
 
-    ``p_clipped`` says that the statistic lies outside the published table. A series that asks for
-    more lags than ``max_lag`` fails the job rather than being cut short.
+    ``p_clipped`` says that the statistic lies outside the published table. The lags that set the bandwidth
+    are summed first (some per series: the length to the power 2/9), then as many as the bandwidth asks for.
     """
     keys = list(keys)
     known = df.where(F.col(column).isNotNull()).select(*keys, order, column)
@@ -43,16 +44,20 @@ def kpss(df: DataFrame, column: str = "close", max_lag: int = 1024, keys: Sequen
     s = s.running(F.sum, {"_s": "_r"}, lambda a, b: a + b)
     base = s.core().groupBy(*keys).agg(
         F.max(RN).alias("n"), F.sum(F.col("_s") * F.col("_s")).alias("ss"), F.sum(F.col("_r") * F.col("_r")).alias("rr"))
-    products = lag_sums(known, column, max_lag, keys, order).select(*keys, "lag", "sxy")
-    joined = products.join(base, keys)
+    base = staged(base)
     n, lag = F.col("n"), F.col("lag")
+    few = base.agg(F.coalesce(F.max(F.floor(F.pow(n.cast("double"), 2.0 / 9.0))), F.lit(0))).first()[0]
+    joined = lag_sums(known, column, max(1, few), keys, order).select(*keys, "lag", "sxy").join(base, keys)
     first = F.when(lag <= F.floor(F.pow(n.cast("double"), 2.0 / 9.0)), F.col("sxy") / (n / 2))
     auto = joined.groupBy(*keys).agg(F.max("n").alias("n"), F.max("rr").alias("rr"), F.max("ss").alias("ss"),
                                      F.coalesce(F.sum(first), F.lit(0.0)).alias("s0"), F.coalesce(F.sum(first * lag), F.lit(0.0)).alias("s1"))
     shape = ratio(F.col("s1"), F.col("rr") / n + F.col("s0"))
     wanted = F.floor(1.1447 * F.pow(shape * shape, 1.0 / 3.0) * F.pow(n.cast("double"), 1.0 / 3.0))
-    auto = auto.withColumn("lags", F.least(wanted, n - 1)).withColumn("lags", F.when(
-        F.col("lags") > max_lag, F.raise_error(F.lit("kpss needs more lags than max_lag"))).otherwise(F.col("lags")))
+    # without a single product (one row) the sums are empty, and so are the lags
+    auto = staged(auto.withColumn("lags", F.least(wanted, n - 1)))
+    most = auto.agg(F.coalesce(F.max("lags"), F.lit(0))).first()[0]
+    if most > max(1, few):
+        joined = lag_sums(known, column, most, keys, order).select(*keys, "lag", "sxy").join(base, keys)
     weighted = joined.join(auto.select(*keys, "lags"), keys).where("lag <= lags").groupBy(*keys).agg(
         F.sum(F.col("sxy") * (1 - lag / (F.col("lags") + 1))).alias("w"))
     out = auto.join(weighted, keys, "left")
@@ -100,15 +105,15 @@ def adf_p_value(stat: float) -> float:
     return 0.5 * math.erfc(-z / math.sqrt(2))
 
 
-def adf(df: DataFrame, column: str = "close", keys: Sequence[str] = KEYS, order: str = "date", max_rows: int = 10**9, block_rows: int | None = None) -> DataFrame:
+def adf(df: DataFrame, column: str = "close", keys: Sequence[str] = KEYS, order: str = "date", block_rows: int | None = None) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant, lag count by AIC.
 
     Blocks sum the cross products of the regressors; per series only that small matrix and the
-    first few values reach the solve. ``max_rows`` bounds the lag count and so the margin.
+    first few values reach the solve. The longest series sets the margin of the blocks.
     """
     keys = list(keys)
     known = df.where(F.col(column).isNotNull()).select(*keys, order, column)
-    longest = adf_lags(max_rows) + 1
+    longest = adf_lags(known.groupBy(*keys).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]) + 1
     s = lay_out(known, longest + 1, 0, keys, order, block_rows or BLOCK_ROWS_FOR_LAGS)
     s = s.join_series(F.avg(column).alias("_mean"), F.max(RN).alias("_len"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name in keys)
@@ -117,8 +122,6 @@ def adf(df: DataFrame, column: str = "close", keys: Sequence[str] = KEYS, order:
     def products(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(RN)
         n, rn = int(pdf["_len"].iat[0]), pdf[RN].to_numpy()
-        if n > max_rows:
-            raise ValueError("series longer than max_rows")
         lags, y = adf_lags(n), (pdf[column] - pdf["_mean"]).to_numpy(float)
         # difference t joins rows t and t+1; it belongs to the block of row t+1
         mine = np.flatnonzero((rn[1:] - 1) // block == pdf[BLK].iat[0])

@@ -150,9 +150,12 @@ def trend_changes(df: DataFrame, window: int = 20, threshold: float = 0.15, colu
     """Significant changes of slope; of changes within half a window the largest stays.
 
     Changes further apart than half a window never influence each other, so the order-dependent
-    selection runs over one such run at a time, not over a series.
+    selection runs over one such run at a time, not over a series. Series of fewer than three windows
+    have no changes.
     """
     known = df.where(F.col(column).isNotNull()).select(*keys, order, column)
+    sized = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= 3 * window)
+    known = known.join(sized.select(*keys), list(keys), "left_semi")
     before = Step(lambda s: s.add({"before_slope": s.lag("slope2")}), 1)
     stages = [adjacent_slopes(window, column)]
     if digits is not None:

@@ -31,11 +31,14 @@ COIN_INDICATORS = ("trend", "golden_cross", "death_cross", "log_return", "return
 def latest(df: DataFrame, keys: Sequence[str], sequence: str | None = None) -> DataFrame:
     """One row per key. Of several, each column takes its last known value by ``sequence``.
 
-    Aggregates map-side, so many copies of one key cost little.
+    Without a sequence there is no last one: records of one key that contradict each other then fail the
+    job, while equal copies are one. Aggregates map-side, so many copies of one key cost little.
     """
     values = [c for c in df.columns if c not in keys and c != sequence]
     if sequence is None:
-        return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+        agreed = lambda c: F.when(F.min(c).eqNullSafe(F.max(c)), F.max(c)).otherwise(
+            F.raise_error(F.lit(f"several values of {c} for one key of {', '.join(keys)}; name a sequence column")))
+        return df.groupBy(*keys).agg(*[agreed(c).alias(c) for c in values])
     return df.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(sequence))).alias(c) for c in values])
 
 

@@ -180,8 +180,8 @@ def trend_batch(df: DataFrame, column: str = "close") -> dict[str, DataFrame]:
     run = lambda fn, full, share: with_effective_window(s, fn, full, share)
     return {
         "direction": run(lambda d, w: tr.direction_summary(d, w, column=column), 20, 4),
-        "changes": run(lambda d, w: tr.trend_changes(d, w, column=column), 20, 5),
-        "levels": run(lambda d, w: tr.support_resistance(d, w, column=column), 20, 4),
+        "changes": run(lambda d, w: tr.trend_changes(d, w, column=column), 20, 4),
+        "levels": run(lambda d, w: tr.support_resistance(d, w, column=column), 20, 5),
         "periods": se.seasonal_periods(s, column), "calendar": se.calendar_patterns(se.calendar_means(s, column)),
         "phase": run(lambda d, w: tr.market_phase(tr.phase_inputs(d, w, column)), 90, 3),
         "stationarity": run(lambda d, w: st.stationarity(d, w, column), 30, 4),
@@ -191,15 +191,18 @@ def trend_batch(df: DataFrame, column: str = "close") -> dict[str, DataFrame]:
 # -- loads ---------------------------------------------------------------------------------------
 
 
-def load_batch(spark: SparkSession, root: str, loads: Mapping[str, DataFrame], process: str = "load") -> DataFrame:
-    """Upsert each ``{star table: rows}`` and append to the run log: ``(table, action, records)``."""
+def load_batch(spark: SparkSession, root: str, loads: Mapping[str, DataFrame], process: str = "load", sequence: str = "_sequence") -> DataFrame:
+    """Upsert each ``{star table: rows}`` and append to the run log: ``(table, action, records)``.
+
+    Rows with a ``sequence`` column may repeat keys; the last one counts.
+    """
     report = None
     for table, rows in loads.items():
         began = time.monotonic()
         try:
-            tally = staged(sinks.upsert_star(spark, root, table, rows))
+            tally = staged(sinks.upsert_star(spark, root, table, rows, sequence if sequence in rows.columns else None))
         except Exception as error:
-            sinks.append_log(spark, f"{root}/etl_log", f"{process}:{table}", "failed", 0, time.monotonic() - began, str(error)[:500])
+            sinks.append_log(spark, f"{root}/etl_log", f"{process}:{table}", "failed", 0, time.monotonic() - began, str(error))
             raise
         done = tally.agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
         sinks.append_log(spark, f"{root}/etl_log", f"{process}:{table}", "success", done, time.monotonic() - began)

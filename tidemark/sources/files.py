@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.sources.payloads import one_per_pair
 
 FILE = "_metadata.file_path"
 
@@ -101,7 +102,7 @@ def matrix_csv(spark: SparkSession, path: str) -> DataFrame:
     pairs = F.arrays_zip(F.col("cols").alias("symbol_2"), F.slice(parts, 2, 1 << 30).alias("v"))
     long = rows.select("file", F.trim(parts[0]).alias("symbol_1"), F.explode(pairs).alias("e"))
     long = long.select("file", "symbol_1", "e.symbol_2", F.trim("e.v").try_cast("double").alias("corr"))
-    return long.where("symbol_1 < symbol_2 and corr is not null and not isnan(corr)")
+    return one_per_pair(long, ["file"])
 
 
 def dated_matrices(spark: SparkSession, path: str, date_column: str = "date") -> DataFrame:
@@ -110,5 +111,5 @@ def dated_matrices(spark: SparkSession, path: str, date_column: str = "date") ->
     name = next(c for c in df.columns if c != date_column)
     symbols = [c for c in df.columns if c not in (date_column, name)]
     long = df.unpivot([date_column, name], symbols, "symbol_2", "corr")
-    return long.select(F.to_date(date_column).alias("calc_date"), F.col(name).alias("symbol_1"), "symbol_2", F.col("corr").try_cast("double").alias("corr")).where(
-        "symbol_1 < symbol_2 and corr is not null")
+    return one_per_pair(long.select(
+        F.to_date(date_column).alias("calc_date"), F.col(name).alias("symbol_1"), "symbol_2", F.col("corr").try_cast("double").alias("corr")), ["calc_date"])

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 #: Class names of the tables and cells, first-header labels, link prefix.
@@ -27,9 +26,14 @@ def _text(html: Column) -> Column:
     return F.regexp_replace(bare, r"^[\s ]+|[\s ]+$", "")
 
 
+def _classed(css: str) -> str:
+    """Pattern of the attributes of a tag up to a class that contains ``css``, in double, single or no quotes."""
+    return f"""[^>]*\\sclass\\s*=\\s*(?:"[^"]*{css}[^"]*"|'[^']*{css}[^']*'|[^\\s"'>]*{css}[^\\s"'>]*)"""
+
+
 def _table(css: str) -> Column:
     """Inside of the first table whose class list is or contains ``css``."""
-    return F.regexp_extract("html", f'(?is)<table[^>]*class="[^"]*{css}[^"]*"[^>]*>(.*?)</table>', 1)
+    return F.regexp_extract("html", f'(?is)<table{_classed(css)}[^>]*>(.*?)</table>', 1)
 
 
 def statement_rows(df: DataFrame, keys: Sequence[str] = ("company",)) -> DataFrame:
@@ -49,13 +53,13 @@ def statement_rows(df: DataFrame, keys: Sequence[str] = ("company",)) -> DataFra
 
 def ratio_rows(df: DataFrame, keys: Sequence[str] = ("company",)) -> DataFrame:
     """``(…, section, ratio, year_offset, value)``; the first value column is five years back."""
-    parts = F.split("html", r'(?i)<[a-z]+[^>]*class="[^"]*table__section[^"]*"[^>]*>')
+    parts = F.split("html", f"(?i)<[a-z]+{_classed('table__section')}[^>]*>")
     s = df.select(*keys, F.explode(F.slice(parts, 2, 1 << 30)).alias("s"))
-    s = s.select(*keys, "s", F.regexp_extract("s", r'(?is)class="[^"]*table__title[^"]*"[^>]*>(.*?)</', 1).alias("_title")).where("_title <> ''")
-    rows = s.select(*keys, _text(F.col("_title")).alias("section"), F.explode(_all(F.col("s"), r'<tr[^>]*class="[^"]*table__row[^"]*"[^>]*>(.*?)</tr>')).alias("r"))
-    cells = r'<t[dh][^>]*class="[^"]*table__cell[^"]*"[^>]*>.*?</t[dh]>'
+    s = s.select(*keys, "s", F.regexp_extract("s", f"(?is)<[a-z0-9]+{_classed('table__title')}[^>]*>(.*?)</", 1).alias("_title")).where("_title <> ''")
+    rows = s.select(*keys, _text(F.col("_title")).alias("section"), F.explode(_all(F.col("s"), f"<tr{_classed('table__row')}[^>]*>(.*?)</tr>")).alias("r"))
+    cells = f"<t[dh]{_classed('table__cell')}[^>]*>.*?</t[dh]>"
     rows = rows.withColumn("cells", _all(F.col("r"), cells, 0))
-    fixed = lambda c: c.rlike(r'(?i)class="[^"]*fixed--column')
+    fixed = lambda c: c.rlike(f"(?i)^<t[dh]{_classed('fixed--column')}")
     rows = rows.withColumns({"name": F.filter("cells", fixed), "values": F.filter("cells", lambda c: ~fixed(c))}).where("size(name) > 0")
     long = rows.select(*keys, "section", _text(F.col("name")[0]).alias("ratio"), F.posexplode("values").alias("i", "cell"))
     text = _text(F.col("cell"))
@@ -65,10 +69,10 @@ def ratio_rows(df: DataFrame, keys: Sequence[str] = ("company",)) -> DataFrame:
 
 def filing_rows(df: DataFrame, limit: int = 10, keys: Sequence[str] = ("company",)) -> DataFrame:
     """The page's first ``limit`` filings with at least four cells: ``(…, rank, filing_type, filing_date, filing_link)``."""
-    rows = df.select(*keys, F.posexplode(_all(_table(FILING_TABLE), "<tr[^>]*>(.*?)</tr>")).alias("pos", "r")).where("pos > 0")
-    rows = rows.withColumn("cells", _all(F.col("r"), "<td[^>]*>(.*?)</td>")).where("size(cells) >= 4")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("pos"))  # rows of one page
+    cells = F.transform(_all(_table(FILING_TABLE), "<tr[^>]*>(.*?)</tr>"), lambda r: _all(r, "<td[^>]*>(.*?)</td>"))
+    full = F.filter(F.slice(cells, 2, 1 << 30), lambda c: F.size(c) >= 4)  # without the header row
+    rows = df.select(*keys, F.posexplode(F.slice(full, 1, limit)).alias("pos", "cells"))
     button = F.regexp_extract(F.col("cells")[1], r'(?is)<a(?=[^>]*id="documentsbutton")[^>]*href="([^"]*)"', 1)
-    return rows.withColumn("rank", rank).where(F.col("rank") <= limit).select(
-        *keys, "rank", _text(F.col("cells")[0]).alias("filing_type"), _text(F.col("cells")[3]).alias("filing_date"),
+    return rows.select(
+        *keys, (F.col("pos") + 1).alias("rank"), _text(F.col("cells")[0]).alias("filing_type"), _text(F.col("cells")[3]).alias("filing_date"),
         F.when(button != "", F.concat(F.lit(FILING_HOST), button)).otherwise("").alias("filing_link"))

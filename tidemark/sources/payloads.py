@@ -124,10 +124,11 @@ def coin_network(info: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def global_market(df: DataFrame, currency: str = "usd") -> DataFrame:
-    """Total market cap per date from a global document with parallel lists."""
+    """Total market cap per date from a global document with parallel lists; lists of unequal length give nothing."""
     p = df.select(F.from_json("payload", schemas.GLOBAL_PAYLOAD).alias("p"))
     both = F.arrays_zip(F.col("p.date").alias("d"), F.try_element_at("p.total_market_cap", F.lit(currency)).alias("v"))
-    return p.select(F.explode(both).alias("e")).select(F.to_date("e.d").alias("date"), F.col("e.v").alias("total_market_cap"))
+    equal = F.size("p.date") == F.size(F.try_element_at("p.total_market_cap", F.lit(currency)))
+    return p.where(equal).select(F.explode(both).alias("e")).select(F.to_date("e.d").alias("date"), F.col("e.v").alias("total_market_cap"))
 
 
 def ratio_document(df: DataFrame, keys: Sequence[str] = ("company",)) -> DataFrame:
@@ -145,9 +146,20 @@ MATRIX_BLOCKS = (
 
 
 def matrix_pairs(df: DataFrame, matrix: str, keys: Sequence[str]) -> DataFrame:
-    """Nested map to the pairs above the diagonal (names in order)."""
+    """Nested map to one row per pair, names in order; square matrices and rectangular ones alike.
+
+    Where both halves of a square matrix are given, the entry whose row comes first by name counts.
+    """
     rows = df.select(*keys, F.explode(matrix).alias("symbol_1", "_m")).select(*keys, "symbol_1", F.explode("_m").alias("symbol_2", "corr"))
-    return rows.where("symbol_1 < symbol_2 and corr is not null")
+    return one_per_pair(rows, keys)
+
+
+def one_per_pair(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Matrix entries ``(…, symbol_1, symbol_2, corr)`` to one row per unordered pair, without the diagonal."""
+    known = rows.where("symbol_1 <> symbol_2 and corr is not null and not isnan(corr)")
+    a, b = F.least("symbol_1", "symbol_2"), F.greatest("symbol_1", "symbol_2")
+    return known.groupBy(*keys, a.alias("_a"), b.alias("_b")).agg(F.min_by("corr", "symbol_1").alias("corr")).select(
+        *keys, F.col("_a").alias("symbol_1"), F.col("_b").alias("symbol_2"), "corr")
 
 
 def correlation_documents(df: DataFrame) -> DataFrame:

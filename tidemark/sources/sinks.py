@@ -68,8 +68,8 @@ def upsert_star(spark: SparkSession, root: str, table: str, incoming: DataFrame,
     target = read_star(spark, root, table)
     if time:
         incoming = incoming.withColumn(MONTH, F.date_format(time, "yyyy-MM"))
-        months = incoming.select(MONTH).distinct()
-        target = target.join(months, MONTH, "left_semi")
+        months = [r[0] for r in incoming.select(MONTH).distinct().collect()]  # calendar months: literals prune the partitions read
+        target = target.where(F.col(MONTH).isin(months))
         keys = (MONTH, *keys)
     merged = merge(target, incoming, keys, sequence)
     merged = staged(merged.withColumn("created_at", F.coalesce("created_at", F.current_timestamp())))

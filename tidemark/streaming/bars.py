@@ -35,11 +35,14 @@ def write_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True).start())
 
 
-def upsert_stream(stream: DataFrame, root: str, table: str, checkpoint: str) -> StreamingQuery:
-    """Merge every micro-batch into a star table. Loads are idempotent, so a replayed batch is harmless."""
+def upsert_stream(stream: DataFrame, root: str, table: str, checkpoint: str, sequence: str | None = None) -> StreamingQuery:
+    """Merge every micro-batch into a star table. Loads are idempotent, so a replayed batch is harmless.
+
+    ``sequence`` (an offset or event time of the source) orders records of one key inside a batch.
+    """
 
     def load(batch: DataFrame, _: int) -> None:
-        sinks.upsert_star(batch.sparkSession, root, table, batch)
+        sinks.upsert_star(batch.sparkSession, root, table, batch, sequence)
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from queries import adapters as a
+from queries import trends
 from queries.companies import RATIOS
 from queries.correlations import CLASS_PAIRS, assets
 from queries.loads import asset_table, snapshots
@@ -81,22 +82,48 @@ def company_batch(spark, d):
 
 @query("correlation_batch")
 def correlation_batch(spark, d):
+    """Every row of every analysis with all its columns."""
     out = ba.correlation_batch(assets(spark, d), CLASS_PAIRS, threshold=0.15)
-    sizes = None
+    parts = None
     for name, df in out.items():
-        part = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("analysis"), "rows")
-        sizes = part if sizes is None else sizes.unionByName(part)
-    return sizes
+        part = df.select(F.lit(name).alias("analysis"), F.to_json(F.struct(*df.columns)).alias("content"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+def long_rows(name, df, **columns):
+    """``analysis, symbol, key, text, value`` of the named columns (key -> digits, or None for text)."""
+    cells = [F.struct(F.lit(c).alias("key"), (F.lit(None).cast("string") if digits is not None else F.col(c).cast("string")).alias("text"),
+                      (F.lit(None).cast("double") if digits is None else F.round(F.col(c).cast("double"), digits)).alias("value")) for c, digits in columns.items()]
+    return df.select(F.lit(name).alias("analysis"), "symbol", F.explode(F.array(*cells)).alias("c")).select("analysis", "symbol", "c.*")
+
+
+def long_sql(name, sql, **columns):
+    return " union all ".join(
+        f"select '{name}' as analysis, symbol, '{c}' as key, {f'{c}::varchar' if digits is None else 'null::varchar'} as text, {f'round({c}, {digits})::double' if digits is not None else 'null::double'} as value from ({sql})"
+        for c, digits in columns.items())
+
+
+DIRECTION = {"current_trend": None, "long_term_trend": None, "ema_trend": None, "current_value": 4, "overall_change_pct": 4}
+PHASE = {"current_phase": None, "confidence": 2, "recent_return": 3, "drawdown_from_ath": 3}
 
 
 @query("trend_batch")
 def trend_batch(spark, d):
+    """Every row of every analysis with all its columns."""
     out = ba.trend_batch(a.bars_daily(spark, d))
-    sizes = None
+    parts = None
     for name, df in out.items():
-        part = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("analysis"), "rows")
-        sizes = part if sizes is None else sizes.unionByName(part)
-    return sizes
+        part = df.select(F.lit(name).alias("analysis"), "symbol", F.to_json(F.struct(*[c for c in df.columns if c != "symbol"])).alias("content"))
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
+@query("trend_batch_parts", long_sql("direction", trends.SQL["direction_summary"], **DIRECTION) + " union all " + long_sql("phase", trends.SQL["market_phase"], **PHASE))
+def trend_batch_parts(spark, d):
+    """Direction and phase of the batch, held against SQL."""
+    out = ba.trend_batch(a.bars_daily(spark, d))
+    return long_rows("direction", out["direction"], **DIRECTION).unionByName(long_rows("phase", out["phase"], **PHASE))
 
 
 @query("load_batch", f"""with {a.BARS_RN}, w as (select symbol, date, case when rn >= 20 then avg(close) {win(20)} end as sma_20 from b)

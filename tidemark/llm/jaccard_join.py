@@ -11,7 +11,9 @@ broadcast, 8 MB at any scale, with a bitmap of the same kind.
 
 Steps: (1) sets with the same content collapse to their signature; (2) prefixes under each order are dealt by
 token; (3) tokens of up to ``DENSE`` sets give pairs, which must also share prefix tokens under the other orders;
-tokens of more sets give one edge per set to a hub, never all pairs; (4) connected candidates form
+tokens of more sets are searched in blocks and give a forest of edges, never all pairs. Either way a pair needs close
+histograms of token hashes: ``SLOTS`` small counts per set bound the number of tokens that differ from below, which
+turns away sets that share no more than a passage; (4) connected candidates form
 families; every member's set travels to its family once and is compared there exactly, in blocks of ``BLOCK`` sets,
 larger families as pairs of blocks, so no task holds more than two blocks; (5) verified links are connected.
 
@@ -37,6 +39,9 @@ SKETCHES = 2
 ORDERS = 3
 DENSE = 16
 BLOCK = 512
+#: Sets per block of a dense token; these carry histograms only.
+WIDE = 4096
+SLOTS = 64
 #: Cells of the bitmap that tells which signatures have candidates.
 MARKS = 1 << 22
 
@@ -54,11 +59,11 @@ def _signature(tokens: np.ndarray) -> int:
 
 
 def scan(docs: DataFrame, text: str, key: str, size: int) -> DataFrame:
-    """One pass over the texts: a row per document (doc, sig, n), and per task its counts of sketch cells (cell, count)."""
+    """One pass over the texts: a row per document (doc, sig, n, slots), and per task its counts of sketch cells (cell, count)."""
     def read(batches):
         counts = np.zeros(CELLS * SKETCHES, np.int64)
         for batch in batches:
-            sig, n = [], []
+            sig, n, slots = [], [], []
             for t in batch.column(1).to_pylist():
                 tokens = shingle_set(t, size)
                 counts += np.bincount(_cells(tokens), minlength=len(counts)) if len(tokens) > 20_000 else 0
@@ -66,15 +71,17 @@ def scan(docs: DataFrame, text: str, key: str, size: int) -> DataFrame:
                     np.add.at(counts, _cells(tokens), 1)
                 sig.append(_signature(tokens))
                 n.append(len(tokens))
+                slots.append(np.minimum(np.bincount((mix(tokens) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS), 255).astype(np.uint8).tobytes())
             none = pa.nulls(len(n), pa.int64())
-            yield pa.record_batch([batch.column(0), pa.array(sig, pa.int64()), pa.array(n, pa.int64()), none, none], names=["doc", "sig", "n", "cell", "count"])
+            yield pa.record_batch([batch.column(0), pa.array(sig, pa.int64()), pa.array(n, pa.int64()), pa.array(slots, pa.binary()), none, none], names=names)
         for at in range(0, len(counts), CELLS // 4):
             part = counts[at:at + CELLS // 4]
             found = np.flatnonzero(part)
             none = pa.nulls(len(found), pa.int64())
-            yield pa.record_batch([none, none, none, pa.array(found + at), pa.array(part[found])], names=["doc", "sig", "n", "cell", "count"])
+            yield pa.record_batch([none, none, none, pa.nulls(len(found), pa.binary()), pa.array(found + at), pa.array(part[found])], names=names)
 
-    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(read, "doc long, sig long, n long, cell long, count long")
+    names = ["doc", "sig", "n", "slots", "cell", "count"]
+    return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(read, "doc long, sig long, n long, slots binary, cell long, count long")
 
 
 def _sketches(rows: DataFrame) -> np.ndarray:
@@ -163,23 +170,93 @@ def _verify(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _near(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets of ``n`` and ``m`` tokens may reach the limit, by their histograms."""
+    total = n + m
+    apart = np.abs(a.astype(np.int16) - b.astype(np.int16)).sum(axis=1)
+    return apart <= total - 2 * -(-percent * total // (100 + percent))
+
+
+def _dense(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Edges that connect the sets of one block, or of two, which may be linked."""
+    rows = rows.sort_values(["side", "n", "sig"], ignore_index=True)
+    slots = np.frombuffer(b"".join(rows["slots"]), np.uint8).reshape(-1, SLOTS)
+    n, sig, cut = rows["n"].to_numpy(), rows["sig"].to_numpy(), int((rows["side"] == 0).sum())
+    parent = np.arange(len(rows))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    edges = []
+    right = slice(cut, None) if cut < len(rows) else slice(0, cut)
+    for i in range(cut):
+        lo = np.searchsorted(n[right], -(-percent * n[i] // 100), "left") + right.start
+        hi = np.searchsorted(n[right], n[i] * 100 // percent, "right") + right.start
+        lo = max(lo, i + 1) if not right.start else lo
+        for j in (lo + np.flatnonzero(_near(slots[lo:hi], slots[i], n[lo:hi], n[i], percent))).tolist():
+            x, y = root(i), root(j)
+            if x != y:
+                parent[y] = x
+                edges.append((int(sig[i]), int(sig[j])))
+    return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+
+
+SEAT = ["group", "level", "part", "other", "other_part"]
+
+
+def _seats(members: DataFrame, block: int, percent: int) -> DataFrame:
+    """Seats of ``group, node, n`` in blocks of about ``block`` members and in pairs of blocks whose sizes can match.
+
+    Groups over that size are cut into levels by the ratio of sizes and those into parts by hash, so a group of any
+    size is dealt without being sorted in one place; a member meets its own level and the two on either side.
+    """
+    total = members.groupBy("group").agg(F.count("*").alias("members"))
+    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("long")
+    spread = members.join(total, "group").withColumn("level", F.when(F.col("members") > block, level).otherwise(F.lit(0)))
+    blocks = spread.groupBy("group", "level").agg(F.count("*").alias("held")).withColumn("parts", F.ceil(F.col("held") / block).cast("int"))
+    spread = spread.join(blocks.select("group", "level", "parts"), ["group", "level"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    # Most groups are one block; only the others are paired up.
+    alone = spread.filter(F.col("members") <= block).select("node", *SEAT[:3], F.col("level").alias("other"), F.col("part").alias("other_part"), F.lit(0).alias("side"))
+    spread = spread.filter(F.col("members") > block)
+    near = blocks.select("group", F.col("level").alias("other"), F.col("parts").alias("other_parts"))
+    ahead = spread.join(near, "group").filter("other between level and level + 2").select(
+        "node", "group", "level", "part", "other", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)).alias("other_part")).filter("other > level or other_part >= part")
+    behind = spread.join(near, "group").filter("other between level - 2 and level").select(
+        "node", "group", F.col("other").alias("level"), F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)).alias("part"),
+        F.col("level").alias("other"), F.col("part").alias("other_part")).filter("other > level or part < other_part")
+    return alone.unionByName(ahead.withColumn("side", F.lit(0))).unionByName(behind.withColumn("side", F.lit(1)))
+
+
 def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) -> DataFrame:
     """``doc, sig, n, root`` for every row of ``docs``: its set's signature and size, and the component's signature (NULL: no shingles)."""
     spark = docs.sparkSession
     scanned = staged(scan(docs, text, key, size))
     counts = spark.sparkContext.broadcast(_sketches(scanned))  # 4 bytes a cell, whatever the corpus
     sets = scanned.filter("cell is null").select("doc", "sig", "n")
+    slots = scanned.filter("cell is null and n > 0").select("sig", "n", "slots").dropDuplicates(["sig", "n", "slots"])
 
     # Tokens that at least two distinct sets have in a prefix under the same order. What a token's row carries is fixed by its set.
     by_token = Window.partitionBy("token", "order")
     shared = prefixes(docs, text, counts, size, percent).repartition("token").dropDuplicates(["token", "sig", "info"])
     shared = shared.select("token", "sig", F.expr("info div 8").alias("n"), F.expr("(info div 2) % 4").alias("order"), (F.col("info") % 2 == 1).alias("short"))
-    shared = shared.withColumn("count", F.count("*").over(by_token)).withColumn("hub", F.min("sig").over(by_token)).filter("count > 1")
+    shared = shared.withColumn("count", F.count("*").over(by_token)).filter("count > 1")
     shared = staged(shared)
     few = shared.filter((F.col("order") == 0) & (F.col("count") <= DENSE))
     x, y = few.filter("short").alias("x"), few.alias("y")
     close = (F.col("x.n") * 100 >= F.col("y.n") * percent) & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.sig") < F.col("y.sig"))))
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & close).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
+
+    def near(batches):
+        for batch in batches:
+            n, m = (batch.column(k).to_numpy() for k in (2, 3))
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, SLOTS) for k in (4, 5))
+            yield batch.filter(pa.array(_near(a, b, n, m, percent))).select(["a", "b"])
+
+    sides = pairs.join(slots.select(F.col("sig").alias("a"), "n", "slots"), "a").join(slots.select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("slots").alias("more")), "b")
+    pairs = sides.select("a", "b", "n", "m", "slots", "more").mapInArrow(near, "a long, b long")
     # The other orders: a pair stays only if it shares a prefix token under each.
     tokens = shared.filter("order > 0").groupBy("sig").agg(*[
         F.collect_list(F.when(F.col("order") == k, F.col("token"))).alias(f"t{k}") for k in range(1, ORDERS)])  # a part of one prefix
@@ -187,30 +264,17 @@ def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) ->
         pairs = pairs.join(tokens.select(F.col("sig").alias(side), *[F.col(f"t{k}").alias(f"{side}{k}") for k in range(1, ORDERS)]), side)
     for k in range(1, ORDERS):
         pairs = pairs.filter(F.arrays_overlap(f"a{k}", f"b{k}"))
-    dense = shared.filter((F.col("order") == 0) & (F.col("count") > DENSE)).select(F.col("sig").alias("a"), F.col("hub").alias("b"))
+    many = shared.filter((F.col("order") == 0) & (F.col("count") > DENSE)).select(F.col("token").alias("group"), F.col("sig").alias("node"), "n")
+    placed = _seats(many, WIDE, percent).join(slots, F.col("node") == F.col("sig")).select(*SEAT, "side", "sig", "n", "slots")
+    dense = placed.groupBy(*SEAT).applyInPandas(lambda rows: _dense(rows, percent), "a long, b long")
     family = components(pairs.select("a", "b").union(dense))
 
-    # Blocks inside a family, and the pairs of blocks whose sizes can match.
-    sizes = sets.groupBy("sig").agg(F.max("n").alias("n"))
-    spread = family.join(sizes.withColumnRenamed("sig", "node"), "node")
-    total = spread.groupBy("root").agg(F.count("*").alias("members"))
-    # Sizes are cut into classes by ratio, so a large family is dealt by (class, part) without being sorted in one place.
-    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("long")
-    spread = spread.join(total, "root").withColumn("level", F.when(F.col("members") > BLOCK, level).otherwise(F.lit(0)))
-    blocks = spread.groupBy("root", "level").agg(F.count("*").alias("held"), F.max("members").alias("m")).withColumn("parts", F.ceil(F.col("held") / BLOCK).cast("int"))
-    spread = spread.join(blocks.select("root", "level", "parts"), ["root", "level"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # A member meets its own level and the next two: the ratio of two linked sizes spans at most two class limits.
-    near = blocks.select("root", F.col("level").alias("other"), F.col("parts").alias("other_parts"))
-    ahead = spread.join(near, "root").filter("other between level and level + 2").select(
-        "node", "root", "level", "part", "other", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)).alias("other_part")).filter("other > level or other_part >= part")
-    behind = spread.alias("s").join(near.alias("o"), "root").filter("other < level and other >= level - 2 or other = level").select(
-        "node", "root", F.col("other").alias("level"), F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)).alias("part"),
-        F.col("level").alias("other"), F.col("s.part").alias("other_part")).filter("other > level or part < other_part")
-    seats = ahead.withColumn("side", F.lit(0)).unionByName(behind.withColumn("side", F.lit(1)))
+    members = family.join(slots.select(F.col("sig").alias("node"), "n"), "node").select(F.col("root").alias("group"), "node", "n")
+    seats = _seats(members, BLOCK, percent)
     marks = spark.sparkContext.broadcast(_marked(family))  # one bit a cell
     held = set_rows(docs, text, marks, size)
-    placed = seats.join(held, seats["node"] == held["sig"]).select("root", "level", "part", "other", "other_part", "side", "sig", "n", "tokens")
-    links = placed.groupBy("root", "level", "part", "other", "other_part").applyInPandas(lambda rows: _verify(rows, percent), "a long, b long")
+    placed = seats.join(held, seats["node"] == held["sig"]).select(*SEAT, "side", "sig", "n", "tokens")
+    links = placed.groupBy(*SEAT).applyInPandas(lambda rows: _verify(rows, percent), "a long, b long")
     joined = components(links)
 
     return sets.join(joined.withColumnRenamed("node", "sig"), "sig", "left").select(

@@ -150,24 +150,28 @@ def _verify(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     cut = int((rows["side"] == 0).sum())
     if not cut:
         return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-    sizes, sig, parent = rows["n"].to_numpy(), rows["sig"].to_numpy(), list(range(len(rows)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    links = []
+    sizes, label = rows["n"].to_numpy(), np.arange(len(rows))
     right = cut if cut < len(rows) else 0
     for i, (found, shared) in enumerate(_overlaps(sets[:cut], sets[cut:] if right else None)):
         found = found + right
-        for j in found[100 * shared >= percent * (sizes[i] + sizes[found] - shared)].tolist():
-            x, y = root(i), root(j)
-            if x != y:
-                parent[y] = x
-                links.append((int(sig[i]), int(sig[j])))
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        _join(label, i, found[100 * shared >= percent * (sizes[i] + sizes[found] - shared)])
+    return _stars(label, rows["sig"].to_numpy())
+
+
+def _join(label: np.ndarray, i: int, others: np.ndarray) -> None:
+    """Give ``i``, the ``others`` and all that already shares their labels one label."""
+    met = np.unique(label[others])
+    if len(met) and (len(met) > 1 or met[0] != label[i]):
+        joined = np.zeros(len(label), bool)
+        joined[met] = joined[label[i]] = True
+        label[joined[label]] = min(met[0], label[i])
+
+
+def _stars(label: np.ndarray, sig: np.ndarray) -> pd.DataFrame:
+    """An edge from each set to the smallest of its label."""
+    least = pd.Series(sig).groupby(label).transform("min").to_numpy()
+    apart = least != sig
+    return pd.DataFrame({"a": sig[apart], "b": least[apart]}, dtype="int64")
 
 
 def _near(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -182,26 +186,14 @@ def _dense(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     rows = rows.sort_values(["side", "n", "sig"], ignore_index=True)
     slots = np.frombuffer(b"".join(rows["slots"]), np.uint8).reshape(-1, SLOTS)
     n, sig, cut = rows["n"].to_numpy(), rows["sig"].to_numpy(), int((rows["side"] == 0).sum())
-    parent = np.arange(len(rows))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    edges = []
+    label = np.arange(len(rows))
     right = slice(cut, None) if cut < len(rows) else slice(0, cut)
     for i in range(cut):
         lo = np.searchsorted(n[right], -(-percent * n[i] // 100), "left") + right.start
         hi = np.searchsorted(n[right], n[i] * 100 // percent, "right") + right.start
         lo = max(lo, i + 1) if not right.start else lo
-        for j in (lo + np.flatnonzero(_near(slots[lo:hi], slots[i], n[lo:hi], n[i], percent))).tolist():
-            x, y = root(i), root(j)
-            if x != y:
-                parent[y] = x
-                edges.append((int(sig[i]), int(sig[j])))
-    return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+        _join(label, i, lo + np.flatnonzero(_near(slots[lo:hi], slots[i], n[lo:hi], n[i], percent)))
+    return _stars(label, sig)
 
 
 SEAT = ["group", "level", "part", "other", "other_part"]
@@ -211,23 +203,25 @@ def _seats(members: DataFrame, block: int, percent: int) -> DataFrame:
     """Seats of ``group, node, n`` in blocks of about ``block`` members and in pairs of blocks whose sizes can match.
 
     Groups over that size are cut into levels by the ratio of sizes and those into parts by hash, so a group of any
-    size is dealt without being sorted in one place; a member meets its own level and the two on either side.
+    size is dealt without being sorted in one place; a member meets its own level and the two on either side. Members
+    meet the counts by group and level, in a join that is free to split a group, and take all their seats from that row.
     """
-    total = members.groupBy("group").agg(F.count("*").alias("members"))
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("long")
-    spread = members.join(total, "group").withColumn("level", F.when(F.col("members") > block, level).otherwise(F.lit(0)))
-    blocks = spread.groupBy("group", "level").agg(F.count("*").alias("held")).withColumn("parts", F.ceil(F.col("held") / block).cast("int"))
-    spread = spread.join(blocks.select("group", "level", "parts"), ["group", "level"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # Most groups are one block; only the others are paired up.
-    alone = spread.filter(F.col("members") <= block).select("node", *SEAT[:3], F.col("level").alias("other"), F.col("part").alias("other_part"), F.lit(0).alias("side"))
-    spread = spread.filter(F.col("members") > block)
-    near = blocks.select("group", F.col("level").alias("other"), F.col("parts").alias("other_parts"))
-    ahead = spread.join(near, "group").filter("other between level and level + 2").select(
-        "node", "group", "level", "part", "other", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)).alias("other_part")).filter("other > level or other_part >= part")
-    behind = spread.join(near, "group").filter("other between level - 2 and level").select(
-        "node", "group", F.col("other").alias("level"), F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)).alias("part"),
-        F.col("level").alias("other"), F.col("part").alias("other_part")).filter("other > level or part < other_part")
-    return alone.unionByName(ahead.withColumn("side", F.lit(0))).unionByName(behind.withColumn("side", F.lit(1)))
+    spread = members.withColumn("level", level)
+    held = spread.groupBy("group", "level").agg(F.count("*").alias("held"))
+    levels = held.groupBy("group").agg(F.sum("held").alias("members"), F.collect_list(  # about 200 levels at most
+        F.struct("level", F.ceil(F.col("held") / block).cast("int").alias("parts"))).alias("levels"))
+    near = levels.select("group", "members", F.explode("levels").alias("own"), F.when(F.col("members") > block, F.col("levels")).alias("levels")).select(
+        "group", "members", "own.level", "own.parts",
+        F.expr("filter(levels, o -> o.level between own.level and own.level + 2)").alias("ahead"), F.expr("filter(levels, o -> o.level between own.level - 2 and own.level)").alias("behind"))
+    seat = "named_struct('level', {}, 'part', {}, 'other', {}, 'other_part', {}, 'side', {})"
+    first = F.expr("flatten(transform(ahead, o -> transform(filter(sequence(0, o.parts - 1), p -> o.level > level or p >= part), p -> "
+                   + seat.format("level", "part", "o.level", "p", 0) + ")))")
+    second = F.expr("flatten(transform(behind, o -> transform(filter(sequence(0, o.parts - 1), p -> o.level < level or p < part), p -> "
+                    + seat.format("o.level", "p", "level", "part", 1) + ")))")
+    dealt = spread.join(near, ["group", "level"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    alone = F.expr("array(" + seat.format("0L", "0", "0L", "0", 0) + ")")
+    return dealt.select("node", "group", F.explode(F.when(F.col("members") > block, F.concat(first, second)).otherwise(alone)).alias("s")).select("node", "group", "s.*")
 
 
 def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) -> DataFrame:

@@ -144,22 +144,27 @@ def register_assets(assets: DataFrame, incoming: DataFrame, buckets: int = 256)
     """Assets after registration, with ``action``; a new symbol gets the next free id.
 
     The name is always taken over; exchange, sector and industry only when given. New ids are
-    numbered inside hash buckets whose sizes give the offsets, so no task numbers all symbols.
+    numbered inside hash buckets whose sizes give the offsets, so no task numbers all symbols. Where the
+    assets have ``created_at`` and ``updated_at``, a new asset gets both, a changed one the second.
     """
     cols = ("name", "asset_type", "exchange", "sector", "industry")
     new = incoming.groupBy("symbol").agg(*[F.max(c).alias(c) for c in cols if c in incoming.columns])
     lacking = {c: F.lit(None).cast("string") for c in cols if c not in new.columns}
     new = new.withColumns(lacking).withColumn("_n", F.lit(True)).alias("n")
-    both = assets.withColumn("_t", F.lit(True)).alias("t").join(new, F.col("t.symbol") == F.col("n.symbol"), "full_outer")
+    both = assets.withColumn("_t", F.lit(True)).alias("t").join(new, F.col("t.symbol") == F.col("n.symbol"), "full_outer")  # times come from the assets alone
     given = lambda c: F.when(F.col(f"n.{c}") != "", F.col(f"n.{c}"))
     name = F.coalesce("n.name", "t.name")
     changed = F.col("n.name").isNotNull() & (F.col("n.name") != F.col("t.name"))
     for c in ("exchange", "sector", "industry"):
         changed = changed | (given(c).isNotNull() & ~given(c).eqNullSafe(F.col(f"t.{c}")))
     action = F.when(F.col("_n").isNull(), "kept").when(F.col("_t").isNull(), "inserted").when(changed, "updated").otherwise("ignored")
+    times = [c for c in ("created_at", "updated_at") if c in assets.columns]
+    now = F.current_timestamp()
+    stamped = {"created_at": F.coalesce("t.created_at", now), "updated_at": F.when(action.isin("inserted", "updated"), now).otherwise(F.col("t.updated_at"))}
     merged = both.select(
         "t.asset_id", F.coalesce("t.symbol", "n.symbol").alias("symbol"), name.alias("name"), F.coalesce("t.asset_type", "n.asset_type").alias("asset_type"),
-        *[F.coalesce(given(c), F.col(f"t.{c}")).alias(c) for c in ("exchange", "sector", "industry")], action.alias("action"))
+        *[F.coalesce(given(c), F.col(f"t.{c}")).alias(c) for c in ("exchange", "sector", "industry")],
+        *[stamped[c].alias(c) for c in times], action.alias("action"))
     fresh = merged.where("action = 'inserted'").withColumn("_b", F.pmod(F.xxhash64("symbol"), F.lit(buckets)))
     sizes = fresh.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
     offsets = sizes.select("_b", F.coalesce(F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))  # ≤ buckets rows

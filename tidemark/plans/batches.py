@@ -110,20 +110,23 @@ def crypto_indicators(columns: Sequence[str]) -> list[list[Step]]:
     return [bars, first, [*ind.crypto_volatility(), sig.ma_cross(), sig.cycle_trend()]]
 
 
+def crypto_features(clean: DataFrame, total_market_cap: DataFrame | None = None, trim: int | None = TRIM) -> DataFrame:
+    """Indicators of cleaned coins, beside the nearest total market cap if one is given. Crosses see the whole series."""
+    if total_market_cap is not None:
+        clean = staged(nearest_by_date(clean, total_market_cap, "total_market_cap"))
+    return compute(clean, *crypto_indicators(clean.columns), keep_ordinal="_n").where(F.col("_n") > (trim or 0)).drop("_n")
+
+
+def crypto_cycles(features: DataFrame) -> DataFrame:
+    """Market-cycle labels; highs, extrema and quantiles see the rows given, so the trimmed ones."""
+    return compute(features, [ind.drawdown(), sig.local_extrema()], [sig.phase_flags(), sig.market_cycle(), sig.bubble_flag()])
+
+
 def crypto_batch(df: DataFrame, total_market_cap: DataFrame | None = None, missing="interpolate", outliers=True, cycles=True,
                  trim: int | None = TRIM, tie: Sequence[str] = ("price",)) -> DataFrame:
-    """Clean, attach the nearest total market cap, indicators, market-cycle labels.
-
-    Crosses see the whole series; highs, extrema and quantiles see it after the trim.
-    """
-    out = cl.clean_crypto_data(df, missing, outliers, tie)
-    if total_market_cap is not None:
-        out = nearest_by_date(staged(out), total_market_cap, "total_market_cap")
-    out = staged(out)
-    out = compute(out, *crypto_indicators(out.columns), keep_ordinal="_n").where(F.col("_n") > (trim or 0)).drop("_n")
-    if not cycles:
-        return out
-    return compute(staged(out), [ind.drawdown(), sig.local_extrema()], [sig.phase_flags(), sig.market_cycle(), sig.bubble_flag()])
+    """Clean, attach the nearest total market cap, indicators, market-cycle labels."""
+    out = crypto_features(staged(cl.clean_crypto_data(df, missing, outliers, tie)), total_market_cap, trim)
+    return crypto_cycles(staged(out)) if cycles else out
 
 
 # -- companies -----------------------------------------------------------------------------------

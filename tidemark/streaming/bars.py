@@ -35,14 +35,16 @@ def write_once(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
         .trigger(availableNow=True).start())
 
 
-def upsert_stream(stream: DataFrame, root: str, table: str, checkpoint: str, sequence: str | None = None) -> StreamingQuery:
-    """Merge every micro-batch into a star table. Loads are idempotent, so a replayed batch is harmless.
+def upsert_stream(stream: DataFrame, root: str, table: str, checkpoint: str, sequence: str | None = None, name: str | None = None) -> StreamingQuery:
+    """Merge every micro-batch into a star table, exactly once.
 
-    ``sequence`` (an offset or event time of the source) orders records of one key inside a batch.
+    The commit that switches the table to a micro-batch's rows also records its number, under ``name`` (default: the
+    checkpoint). After a crash the same number comes again with the same rows: it is done if the record is not there, and
+    left alone if it is. ``sequence`` (an offset or event time of the source) orders records of one key inside a batch.
     """
 
-    def load(batch: DataFrame, _: int) -> None:
-        sinks.upsert_star(batch.sparkSession, root, table, batch, sequence)
+    def load(batch: DataFrame, number: int) -> None:
+        sinks.upsert_star(batch.sparkSession, root, table, batch, sequence, batch=f"{name or checkpoint}#{number}")
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -5,7 +5,7 @@ vocabulary entries from the left. The proposal is the exact encoding if and only
 encodes to and every two neighbours stay apart: undoing both tokens' merges from the last one backwards shows each pair
 of symbols that ever stood side by side at their border, and none of these pairs may have a merge that came before
 either side was taken further. All pairs of a batch of new words are tested together, as arrays. Words with a pair
-that fails are merged exactly, by a heap over (rank, place).
+that fails are merged exactly, all of them side by side; a very long one by a heap over (rank, place).
 
 Texts go over in Arrow batches. What a worker remembers of words is bounded in bytes, not in entries, and holds no
 answer that depends on what came before, so any split into tasks gives the same ids. Nothing is shuffled and a text stays
@@ -33,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-#: Bytes of words and their ids a worker keeps before it starts anew.
-REMEMBER = 48 << 20
+#: Bytes of stretches of text and their ids a worker keeps, half of them met lately.
+REMEMBER = 96 << 20
 #: Longer words are encoded whenever they occur and not kept.
 KEEP_LENGTH = 256
-#: Symbols from which a word is merged by a heap.
+#: Letters beyond which a word is merged by a heap.
 LONG_WORD = 64
 #: Stands for the end of a word inside symbols; a text's own such character is one of the byte letters by then.
 END = "\0"
@@ -47,6 +47,37 @@ _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOW = {b: chr(b) for b in _PLAIN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
+class _Table:
+    """Non-negative codes to numbers, looked up for whole arrays: open addressing, the next slot where one is taken."""
+
+    def __init__(self, codes: np.ndarray, values: np.ndarray):
+        bits = max(4, (2 * len(codes)).bit_length())
+        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self.codes, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+        left, slot = np.arange(len(codes)), self._slot(codes)
+        while len(left):
+            free = self.codes[slot[left]] < 0
+            taken, first = np.unique(slot[left[free]], return_index=True)
+            won = left[free][first]
+            self.codes[taken], self.values[taken] = codes[won], values[won]
+            left = np.setdiff1d(left, won, assume_unique=True)
+            slot[left] = (slot[left] + 1) & self.mask  # all of these slots are taken by now
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, codes: np.ndarray, missing: int) -> np.ndarray:
+        out = np.full(len(codes), missing, np.int64)
+        live, slot = np.arange(len(codes)), self._slot(codes)
+        while len(live):
+            found = self.codes[slot]
+            hit = found == codes
+            out[live[hit]] = self.values[slot[hit]]
+            on = ~hit & (found >= 0)
+            live, slot, codes = live[on], (slot[on] + 1) & self.mask, codes[on]
+        return out
+
+
 class Codec:
     """The tables of one tokenizer file and the words met so far."""
 
@@ -76,12 +107,10 @@ class Codec:
         self.result = [self.vocab[a + b] for a, b in inner]
         self.order = {(self.vocab[a], self.vocab[b]): r for r, (a, b) in reversed(list(enumerate(inner)))}
         self._tables()
-        self.sure = {t: i for t, i in self.vocab.items() if self.sound[i]}
-        self.reach: dict[str, int] = {}  # longest entry by its first two letters
-        for t in self.sure:
-            self.reach[t[:2]] = max(self.reach.get(t[:2], 1), len(t))
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, bytes] = {}
+        self._spell()
+        self.known = np.asarray([n is not None for n in names])
+        self.chunks: dict[str, bytes] = {}  # lately met, and met before the last time that half the memory was full
+        self.older: dict[str, bytes] = {}
         self.kept = 0
 
     def _steps(self, spec: dict) -> None:
@@ -103,9 +132,8 @@ class Codec:
         self.made = np.full(self.size, -1)  # rank of the merge that makes a symbol; -1: a single letter
         for r, a, b, c in reversed(merges):  # a symbol with several merges is made by the first
             self.left[c], self.right[c], self.made[c] = a, b, r
-        codes = np.asarray([a * self.size + b for _, a, b, _ in merges], np.int64)
-        order = np.argsort(codes)
-        self.codes, self.ranks = codes[order], np.asarray([m[0] for m in merges], np.int64)[order]
+        self.pairs = _Table(np.asarray([a * self.size + b for _, a, b, _ in merges], np.int64), np.asarray([m[0] for m in merges], np.int64))
+        self.results = np.asarray(self.result, np.int64)
         made = np.nonzero(self.made >= 0)[0]
         apart = np.ones(self.size, bool)
         apart[made] = self.stay_apart(self.left[made], self.right[made], inside=True)
@@ -115,11 +143,31 @@ class Codec:
         for c in made[np.argsort(self.made[made])].tolist():
             self.sound[c] = apart[c] and self.sound[self.left[c]] and self.sound[self.right[c]]
 
+    def _spell(self) -> None:
+        """Ids of the 256 byte letters inside and at the end of a word, and the tree of all sound entries over these letters."""
+        self.letters = np.asarray([self.vocab[c + e] for e in ("", END) for c in map(_SHOW.__getitem__, range(256))], np.int64)
+        byte = {c: b for b, c in _SHOW.items()}
+        children: dict[int, int] = {}
+        entry = [-1]  # per place in the tree
+        for text, i in self.vocab.items():
+            if not self.sound[i]:
+                continue
+            path = [byte[c] for c in text.rstrip(END)]
+            if text.endswith(END):
+                path[-1] += 256
+            at = 0
+            for letter in path:
+                code = at * 512 + letter
+                if (at := children.get(code, 0)) == 0:
+                    children[code] = at = len(entry)
+                    entry.append(-1)
+            entry[at] = i
+        self.tree = _Table(np.fromiter(children, np.int64, len(children)), np.fromiter(children.values(), np.int64, len(children)))
+        self.entry = np.asarray(entry, np.int64)
+
     def merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair's merge, a number above all ranks where it has none."""
-        code = a * self.size + b
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        return np.where(self.codes[at] == code, self.ranks[at], len(self.ranks))
+        return self.pairs.get(a * self.size + b, len(self.result))
 
     def stay_apart(self, a: np.ndarray, b: np.ndarray, inside: bool = False) -> np.ndarray:
         """True where no merge joins the border of the neighbours while they are built. ``inside``: their own merge does not count.
@@ -128,7 +176,7 @@ class Codec:
         below that of the merge which takes the left symbol on, and not above that of the right one: of equal
         merges the leftmost goes first.
         """
-        never = len(self.ranks)
+        never = len(self.result)
         fine = np.ones(len(a), bool)
         live = np.arange(len(a))
         a, b = a.astype(np.int64), b.astype(np.int64)
@@ -147,38 +195,67 @@ class Codec:
             a, b = np.where(undo_left, self.right[a], a), np.where(undo_left, b, self.left[b])
         return fine
 
-    def propose(self, symbols: str) -> list[int]:
-        """Longest sound vocabulary entries from the left."""
-        out, at, n, sure, reach = [], 0, len(symbols), self.sure, self.reach
-        while at < n:
-            end = at + reach.get(symbols[at:at + 2], 1)
-            if end >= n - 1:  # the last letter and the word's end are one symbol
-                end = n
-            while (found := sure.get(symbols[at:end])) is None:
-                end -= 1 + (end == n)
-            out.append(found)
-            at = end
-        return out
+    def propose(self, letters: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Longest sound entries from the left, for all words at once: (word, id) of every token, in order.
 
-    def merge(self, symbols: str) -> list[int]:
-        """Exact merging: always the pair of least rank, the leftmost of equal ones."""
-        ids = [self.vocab[c] for c in symbols[:-2]] + [self.vocab[symbols[-2:]]]
-        if len(ids) > LONG_WORD:
-            return self._merge_long(ids)
-        never, rank, result = len(self.result), self.order, self.result
-        ranks = [rank.get(p, never) for p in zip(ids, ids[1:], strict=False)]
-        while ranks and (least := min(ranks)) < never:
-            i = ranks.index(least)
-            ids[i:i + 2] = [result[least]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank.get((ids[i - 1], ids[i]), never)
-            if i < len(ranks):
-                ranks[i] = rank.get((ids[i], ids[i + 1]), never)
-        return ids
-
-    def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same in n log n, by a heap over (rank, place)."""
+        ``letters`` holds all words' letters (0 to 255, at a word's end 256 more), word k those from starts[k] to ends[k].
+        """
+        word, at, place = np.arange(len(starts)), starts.copy(), np.zeros(len(starts), np.int64)
+        best, best_end, ends = np.zeros(len(starts), np.int64), starts.copy(), ends.copy()
+        found = []  # (word, start of the token, id)
+        begin = starts.copy()
+        while len(word):
+            inside = at < ends
+            place = np.where(inside, self.tree.get(place * 512 + letters[np.minimum(at, len(letters) - 1)], 0), 0)
+            going = place > 0
+            at = at + 1
+            token = np.where(going, self.entry[place], -1)
+            best, best_end = np.where(token >= 0, token, best), np.where(token >= 0, at, best_end)
+            stop = ~going
+            if stop.any():
+                found.append((word[stop], begin[stop], best[stop]))
+                begin, at = np.where(stop, best_end, begin), np.where(stop, best_end, at)
+                left = ~stop | (at < ends)
+                word, at, place, best, best_end, ends, begin = (x[left] for x in (word, at, place, best, best_end, ends, begin))
+        words, begins, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(begins, kind="stable")  # words lie one after the other
+        return words[order], ids[order]
+
+    def merge(self, ids: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of all words at once, each by its pair of least rank, the leftmost of equal ones: (ids, word)."""
+        never = len(self.result)
+        rank = np.full(len(ids), never)
+        same = np.nonzero(word[1:] == word[:-1])[0]
+        rank[same] = self.merge_rank(ids[same], ids[same + 1])
+        done = []
+        while len(ids):
+            starts = np.nonzero(np.r_[True, word[1:] != word[:-1]])[0]
+            sizes = np.diff(np.r_[starts, len(ids)])
+            least = np.minimum.reduceat(rank, starts)
+            over = np.repeat(least == never, sizes)
+            if over.any():
+                done.append((ids[over], word[over]))
+                ids, word, rank, sizes, least = ids[~over], word[~over], rank[~over], sizes[least < never], least[least < never]
+                if not len(ids):
+                    break
+            at = np.nonzero(rank == np.repeat(least, sizes))[0]
+            at = at[np.r_[True, word[at[1:]] != word[at[:-1]]]]  # the leftmost of each word
+            ids[at] = self.results[least]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, word, rank = ids[keep], word[keep], rank[keep]
+            at -= np.arange(len(at))  # where the merged pairs stand now
+            for i in (at[at > 0] - 1, at):
+                paired = np.append(word[1:] == word[:-1], False)[i]
+                rank[i] = never
+                i = i[paired]
+                rank[i] = self.merge_rank(ids[i], ids[i + 1])
+        ids, word = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (ids, word)
+        order = np.argsort(word, kind="stable")
+        return ids[order], word[order]
+
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """The same for one word in n log n, by a heap over (rank, place)."""
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         heap = [(self.order[p], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.order]
         heapq.heapify(heap)
@@ -196,19 +273,31 @@ class Codec:
                     heapq.heappush(heap, (self.order[ids[k], ids[m]], k))
         return [i for i in ids if i >= 0]
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct normalised words: speculate on all, verify all neighbours together, merge what fails."""
-        symbols = [w.encode().decode("latin-1").translate(_SHOW) + END for w in words]
-        guesses = [self.propose(s) for s in symbols]
-        sizes = np.fromiter(map(len, guesses), np.int64, len(guesses))
-        flat = np.fromiter(chain.from_iterable(guesses), np.int64, int(sizes.sum()))
-        owner = np.repeat(np.arange(len(guesses)), sizes)
-        border = np.nonzero(owner[1:] == owner[:-1])[0]
-        codes, at = np.unique(flat[border] * self.size + flat[border + 1], return_inverse=True)
-        bad = ~self.stay_apart(codes // self.size, codes % self.size)[at]
-        for k in np.unique(owner[border[bad]]).tolist():
-            guesses[k] = self.merge(symbols[k])
-        return guesses
+        if not words:
+            return []
+        coded = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        ends = np.cumsum(sizes)
+        letters = np.frombuffer(b"".join(coded), np.uint8).astype(np.int64)
+        letters[ends - 1] += 256
+        word, ids = self.propose(letters, ends - sizes, ends)
+        border = np.nonzero(word[1:] == word[:-1])[0]
+        pairs, at = np.unique(ids[border] * self.size + ids[border + 1], return_inverse=True)
+        fails = np.zeros(len(words), bool)
+        fails[word[border[~self.stay_apart(pairs // self.size, pairs % self.size)[at]]]] = True
+        owner = np.repeat(np.arange(len(words)), sizes)
+        short = fails[owner] & (sizes[owner] <= LONG_WORD)
+        merged, of = self.merge(self.letters[letters[short]], owner[short])
+        kept = ~fails[word]
+        ids, word = np.concatenate([ids[kept], merged]), np.concatenate([word[kept], of])
+        order = np.argsort(word, kind="stable")
+        flat, cuts = ids[order].astype("<u4").tobytes(), np.concatenate([[0], 4 * np.cumsum(np.bincount(word, minlength=len(words)))]).tolist()
+        out = [flat[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        for k in np.nonzero(fails & (sizes > LONG_WORD))[0].tolist():
+            out[k] = np.asarray(self.merge_long(self.letters[letters[ends[k] - sizes[k]:ends[k]]].tolist()), "<u4").tobytes()
+        return out
 
     def _pieces(self, chunk: str) -> list[int | str]:
         """Special ids and normalised words of a stretch without spaces, in order."""
@@ -227,44 +316,40 @@ class Codec:
         return out
 
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of new stretches as little-endian bytes; the short ones are kept."""
+        """Ids of stretches not met before, as little-endian bytes; words that occur in several are encoded once."""
         pieces = [self._pieces(c) for c in chunks]
-        new = [w for w in dict.fromkeys(chain.from_iterable(pieces)) if isinstance(w, str) and w not in self.words]
-        fresh = dict(zip(new, map(tuple, self.encode_words(new)), strict=True))
-        found = {}
-        for c, ps in zip(chunks, pieces, strict=True):
-            ids = [i for p in ps for i in ((p,) if isinstance(p, int) else fresh.get(p) or self.words[p])]
-            found[c] = pack(f"<{len(ids)}I", *ids)
-        for w, ids in fresh.items():
-            if len(w) <= KEEP_LENGTH:
-                self.words[w] = ids
-                self.kept += 160 + 2 * len(w) + 8 * len(ids)
-        for c, ids in found.items():
-            if len(c) <= KEEP_LENGTH:
-                self.chunks[c] = ids
-                self.kept += 260 + 2 * len(c) + len(ids)
-        return found
+        words = [w for w in dict.fromkeys(chain.from_iterable(pieces)) if w.__class__ is str]
+        coded = dict(zip(words, self.encode_words(words), strict=True))
+        coded |= {i: pack("<I", i) for i in self.special.values()}
+        return {c: coded[ps[0]] if len(ps) == 1 else b"".join(map(coded.__getitem__, ps)) for c, ps in zip(chunks, pieces, strict=True)}
+
+    def _keep(self, found: dict[str, bytes]) -> None:
+        self.chunks.update(found)
+        self.kept += 160 * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, offsets)."""
-        if self.kept > REMEMBER:
-            self.words, self.chunks, self.kept = {}, {}, 0
         # Neither composition nor the word pattern reaches across a space or a line break.
         parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        unknown = [c for c in dict.fromkeys(chain.from_iterable(parts)) if c not in self.chunks]
-        fresh = self._learn(unknown) if unknown else {}
-        known = self.chunks if all(len(c) <= KEEP_LENGTH for c in fresh) else self.chunks | fresh
+        missing = set().union(*parts).difference(self.chunks)
+        again = {c: self.older[c] for c in missing.intersection(self.older)}
+        fresh = self._learn(list(missing.difference(again)))
+        long = {c: fresh.pop(c) for c in [c for c in fresh if len(c) > KEEP_LENGTH]}
+        self._keep(again | fresh)
+        known = self.chunks | long if long else self.chunks
         coded = [b"".join(map(known.__getitem__, p)) for p in parts]
+        if self.kept > REMEMBER // 2:
+            self.older, self.chunks, self.kept = self.chunks, {}, 0
         offsets = np.zeros(len(coded) + 1, np.int64)
         np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
         return np.frombuffer(b"".join(coded), "<u4"), offsets
 
     def decode(self, ids: np.ndarray) -> str:
         """The tokens' own names with a space between, as a tokenizer without a decoder gives them."""
-        wrong = [i for i in np.unique(ids).tolist() if not 0 <= i < self.size or self.names[i] is None]
-        if wrong:
+        if len(ids) and (int(ids.min()) < 0 or int(ids.max()) >= self.size or not self.known[ids].all()):
+            wrong = [i for i in np.unique(ids).tolist() if not 0 <= i < self.size or not self.known[i]]
             raise ValueError(f"ids outside the vocabulary: {wrong[:5]}")
-        return " ".join(self.names[ids])
+        return " ".join(self.names[ids].tolist())
 
 
 _codecs: dict[str, Codec] = {}
@@ -337,7 +422,7 @@ def digests(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "t
             for small in _small(batch):
                 ids, offsets = own.encode(small.column(1).to_pylist())
                 spans = list(zip(offsets, offsets[1:], strict=False))
-                coded = [hashlib.sha256(" ".join(decimal[ids[a:b]]).encode()).hexdigest() for a, b in spans]
+                coded = [hashlib.sha256(" ".join(decimal[ids[a:b]].tolist()).encode()).hexdigest() for a, b in spans]
                 back = [hashlib.sha256(own.decode(ids[a:b]).encode()).hexdigest() for a, b in spans]
                 yield pa.RecordBatch.from_arrays([small.column(0), pa.array(np.diff(offsets)), pa.array(coded, pa.string()), pa.array(back, pa.string())],
                                                  names=[key, "n_tokens", "ids_sha256", "decoded_sha256"])

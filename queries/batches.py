@@ -105,7 +105,7 @@ def long_sql(name, sql, **columns):
 
 
 DIRECTION = {"current_trend": None, "long_term_trend": None, "ema_trend": None, "current_value": 4, "overall_change_pct": 4}
-PHASE = {"current_phase": None, "confidence": 2, "recent_return": 3, "drawdown_from_ath": 3}
+PHASE = {"current_phase": None, "confidence": 2, "recent_return": 4, "drawdown_from_ath": 4}
 
 
 @query("trend_batch")

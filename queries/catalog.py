@@ -13,7 +13,7 @@ from tidemark.operators import signals as sig
 from tidemark.operators.series import compute
 from tidemark.session import use_settings
 
-MODULES = [importlib.import_module(f"queries.{m}") for m in ("prices", "correlations", "trends", "companies", "landing", "loads", "batches")]
+MODULES = [importlib.import_module(f"queries.{m}") for m in ("prices", "correlations", "trends", "companies", "landing", "loads", "batches", "folders")]
 
 
 def _with_settings(fn):

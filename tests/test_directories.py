@@ -66,8 +66,7 @@ def test_an_empty_directory(spark, tmp_path):
 def test_stock_load(spark, stocks, tmp_path):
     root, out = str(tmp_path / "star"), str(tmp_path / "processed")
     di.process_stock_directory(spark, stocks, out)
-    series = F.regexp_extract("file", r"symbol=([^/]+)/", 1)
-    load = lambda **named: {r.symbol: r for r in di.load_stock_directory(spark, root, f"{out}/processed", pattern="*.csv", series=series, **named).collect()}
+    load = lambda **named: {r.symbol: r for r in di.load_stock_directory(spark, root, out, layout=di.WRITTEN, **named).collect()}
     first = load()
     assert {s: (r.status, r.prices_inserted, r.prices_updated, r.prices_ignored) for s, r in first.items()} == {"AAPL": ("success", 60, 0, 0), "MSFT": ("success", 30, 0, 0)}
     stored = sinks.read_star(spark, root, "technical_indicator")
@@ -111,7 +110,7 @@ def test_a_load_killed_between_its_tables_is_finished_by_its_second_run(spark, s
 
     out = str(tmp_path / "processed")
     di.process_stock_directory(spark, stocks, out)
-    load = lambda: di.load_stock_directory(spark, root, f"{out}/processed", pattern="*.csv", series=F.regexp_extract("file", r"symbol=([^/]+)/", 1), batch="monday")
+    load = lambda: di.load_stock_directory(spark, root, out, layout=di.WRITTEN, batch="monday")
     with monkeypatch.context() as broken:
         broken.setattr(sinks, "upsert_star", prices_then_die)
         with pytest.raises(RuntimeError, match="killed"):
@@ -152,6 +151,9 @@ def test_crypto_directory_and_load(spark, coins, tmp_path):
     assert spark.read.json(f"{out}/network_clean").select("series").collect()[0].series == "btc"
     report = {r.symbol: r for r in di.load_crypto_directory(spark, root, coins).collect()}  # raw folder: no processed market files, but documents
     assert (report["BTC"].status, report["BTC"].market_data_inserted, report["BTC"].network_data_inserted) == ("success", 0, 1)
+    report = {r.symbol: r for r in di.load_crypto_directory(spark, root, out, layout=di.WRITTEN).collect()}
+    assert (report["BTC"].market_data_inserted, report["BTC"].network_data_ignored, report["ETH"].market_data_inserted) == (60, 1, 20)
+    assert report["BTC"].indicators_inserted > 60
     assert {(r.symbol, r.name) for r in sinks.read_star(spark, root, "asset").collect()} >= {("BTC", "Bitcoin")}
     net = sinks.read_star(spark, root, "crypto_network_data").first()
     assert (net.trade_date, net.hashrate, net.transaction_count) == (dt.date(2020, 3, 1), 5.5, 12.0)

@@ -2,7 +2,10 @@
 
 A series that cannot be processed does not stop the others: its rows go to ``quarantine`` with the reason, and the
 summary says what became of it. What a batch writes is read back for its next step, so nothing is computed twice.
-The files' names give the series; ``series`` arguments replace that rule for folders laid out otherwise.
+
+Two layouts are read. ``named``: files named after their series and kind (``AAPL_daily.csv``, ``btc/btc_info.json``). ``written``:
+as Spark's writers and these batches leave them, a folder per kind with one partition folder per series, documents
+as JSON lines of ``series`` and ``payload``; so what one batch wrote is another one's input.
 """
 
 from __future__ import annotations
@@ -29,6 +32,18 @@ STOCK_CELLS = ("open", "high", "low", "close", "volume", "adjusted_close")
 COIN_CELLS = ("timestamp", "price", "market_cap", "volume")
 INDICATOR_MARKS = ("sma_", "ema_", "rsi_", "macd_")
 FILE = "file"
+NAMED, WRITTEN = "named", "written"
+
+
+def _place(folder: str, kind: str, layout: str, pattern: str) -> tuple[str, str]:
+    """(folder, file pattern) of a kind of files."""
+    if layout not in (NAMED, WRITTEN):
+        raise ValueError(f"layout must be {NAMED} or {WRITTEN}, not {layout}")
+    return (f"{folder}/{kind}", "part-*") if layout == WRITTEN else (folder, pattern)
+
+
+def _name(layout: str, of_file: Column) -> Column:
+    return files.partition_value(FILE) if layout == WRITTEN else of_file
 
 
 def _sorted_out(spark: SparkSession, folder: str, pattern: str, cells: Sequence[str] | None, series: Column, output: str | None) -> tuple[DataFrame, DataFrame]:
@@ -48,25 +63,25 @@ def _sorted_out(spark: SparkSession, folder: str, pattern: str, cells: Sequence[
 
 
 def process_stock_directory(spark: SparkSession, input_dir: str, output_dir: str, indicators: bool = True, signals: bool = True, pattern: str = "*_daily.csv",
-                            series: Column | None = None, form: str = "csv", **options) -> DataFrame:
+                            layout: str = NAMED, form: str = "csv", **options) -> DataFrame:
     """Bar files to ``processed`` (by symbol), ``quarantine`` and ``processing_results``; gives the latter: series, status, records, written."""
-    good, status = _sorted_out(spark, input_dir, pattern, STOCK_CELLS, files.file_symbol(FILE) if series is None else series, output_dir)
+    good, status = _sorted_out(spark, *_place(input_dir, "daily", layout, pattern), STOCK_CELLS, _name(layout, files.file_symbol(FILE)), output_dir)
     sinks.write_table(ba.stock_batch(good, indicators=indicators, signals=signals, **options), f"{output_dir}/processed", form=form)
     done = read_table(spark, f"{output_dir}/processed", form).groupBy(F.col("symbol").cast("string").alias("series")).agg(F.count(F.lit(1)).alias("written"))
     return _report(status.join(done, "series", "left").withColumn("written", F.coalesce("written", F.lit(0))), output_dir)
 
 
-def process_crypto_directory(spark: SparkSession, input_dir: str, output_dir: str, indicators: bool = True, cycles: bool = True, series: Column | None = None,
+def process_crypto_directory(spark: SparkSession, input_dir: str, output_dir: str, indicators: bool = True, cycles: bool = True, layout: str = NAMED,
                              form: str = "csv", **options) -> DataFrame:
     """Coin folders to ``market_clean``, ``indicators``, ``market_cycles``, ``info_clean``, ``network_clean`` and the global document.
 
     The summary has a row per coin: what of market_data, info, network_data, indicators and market_cycles there is.
     """
-    coin = F.lower(files.parent_name(FILE)) if series is None else series
-    good, status = _sorted_out(spark, input_dir, "*_market_data.csv", COIN_CELLS, coin, output_dir)
+    coin = _name(layout, F.lower(files.parent_name(FILE)))
+    good, status = _sorted_out(spark, *_place(input_dir, "market_data", layout, "*_market_data.csv"), COIN_CELLS, coin, output_dir)
     status = status.where(~F.col("series").isin(*NOT_SERIES))
     good = good.where(~F.col("symbol").isin(*NOT_SERIES))
-    total = _global_market(spark, input_dir, output_dir)
+    total = _global_market(spark, input_dir, output_dir, layout)
     sinks.write_table(cl.clean_crypto_data(good, tie=options.pop("tie", ("price",))), f"{output_dir}/market_clean", form=form)
     if indicators:
         clean = read_table(spark, f"{output_dir}/market_clean", form)
@@ -75,7 +90,7 @@ def process_crypto_directory(spark: SparkSession, input_dir: str, output_dir: st
             sinks.write_table(ba.crypto_cycles(read_table(spark, f"{output_dir}/indicators", form)), f"{output_dir}/market_cycles", form=form)
     documents = None
     for kind, least in (("info", 1), ("network_data", 3)):  # a network document of two fields is only its symbol and an error
-        found = _documents(spark, input_dir, f"*_{kind}.json", coin, least)
+        found = _documents(spark, input_dir, kind, layout, coin, least)
         sinks.write_documents(found.where("fit").drop("fit"), f"{output_dir}/{kind.split('_')[0]}_clean")
         part = found.groupBy("series").agg(F.max("fit").alias(kind))
         documents = part if documents is None else documents.join(part, "series", "full_outer")
@@ -87,21 +102,22 @@ def process_crypto_directory(spark: SparkSession, input_dir: str, output_dir: st
     return _report(summary, output_dir)
 
 
-def process_company_directory(spark: SparkSession, input_dir: str, output_dir: str, ratios: bool = True, series: Column | None = None) -> DataFrame:
+def process_company_directory(spark: SparkSession, input_dir: str, output_dir: str, ratios: bool = True, layout: str = NAMED) -> DataFrame:
     """Company folders to ``income_clean``, ``balance_clean``, ``ratios_clean`` and ``additional_ratios`` (nested documents).
 
     The summary has a row per company: which of income_statement, balance_sheet, ratios and additional_ratios there are.
     """
-    company = F.lower(files.parent_name(FILE)) if series is None else series
+    company = _name(layout, F.lower(files.parent_name(FILE)))
     flags, clean = None, {}
     for name, kind, tidy in (("income", "income_statement", co.clean_income_statement), ("balance", "balance_sheet", co.clean_balance_sheet)):
-        found = files.listing(spark, input_dir, f"*_{kind}.csv").select(company.alias("company"))
-        lines = files.wide_statements(spark, input_dir, f"*_{kind}.csv", company)
+        place = _place(input_dir, kind, layout, f"*_{kind}.csv")
+        found = files.listing(spark, *place).select(company.alias("company"))
+        lines = files.wide_statements(spark, *place, company)
         sinks.write_table(tidy(lines), f"{output_dir}/{name}_clean", by=("company",), form="parquet")
         clean[name] = spark.read.parquet(f"{output_dir}/{name}_clean").withColumn("company", F.col("company").cast("string"))
         part = found.distinct().join(lines.groupBy("company").agg(F.lit(True).alias(kind)), "company", "left")
         flags = part if flags is None else flags.join(part, "company", "full_outer")
-    given = _documents(spark, input_dir, "*_ratios.json", company, 1).withColumnRenamed("series", "company")
+    given = _documents(spark, input_dir, "ratios", layout, company, 1).withColumnRenamed("series", "company")
     tidy_ratios = staged(co.normalize_ratios(payloads.ratio_document(given.where("fit"))))
     sinks.write_documents(nested(tidy_ratios, ["section", "ratio", "period"]), f"{output_dir}/ratios_clean")
     flags = flags.join(given.groupBy("company").agg(F.max("fit").alias("ratios")), "company", "full_outer")
@@ -142,17 +158,29 @@ def read_table(spark: SparkSession, path: str, form: str = "parquet", day: str =
     return rows.select(*[F.col(f"`{c}`").try_cast(kinds.get(c, "string" if c.endswith("_label") and c != "trend_label" else "double")).alias(c) for c in rows.columns])
 
 
-def _documents(spark: SparkSession, folder: str, pattern: str, series: Column, least: int) -> DataFrame:
+def _documents(spark: SparkSession, folder: str, kind: str, layout: str, series: Column, least: int) -> DataFrame:
     """``(series, payload, fit)``: fit where the document is an object of at least so many fields."""
-    text = spark.read.text(folder, pathGlobFilter=pattern, wholetext=True, recursiveFileLookup=True)
-    named = text.select(F.col(files.FILE).alias("file"), F.col("value").alias("payload"))
-    given = named.select(series.alias("series"), "payload", F.coalesce(F.size(F.json_object_keys("payload")) >= least, F.lit(False)).alias("fit"))
-    empty = files.listing(spark, folder, pattern).select(series.alias("series")).join(given.select("series"), "series", "left_anti")
-    return given.unionByName(empty.select("series", F.lit(None).cast("string").alias("payload"), F.lit(False).alias("fit")))
+    place, pattern = _place(folder, kind, layout, f"*_{kind}.json")
+    shape = "series string, payload string"
+    if layout == WRITTEN:
+        try:
+            given = spark.read.schema(shape).json(place)
+        except AnalysisException:  # no documents of this kind
+            given = spark.createDataFrame([], shape)
+    else:
+        text = spark.read.text(place, pathGlobFilter=pattern, wholetext=True, recursiveFileLookup=True)
+        found = text.select(F.col(files.FILE).alias("file"), F.col("value").alias("payload")).select(series.alias("series"), "payload")
+        blank = files.listing(spark, place, pattern).select(series.alias("series")).join(found.select("series"), "series", "left_anti")
+        given = found.unionByName(blank, allowMissingColumns=True)
+    return given.withColumn("fit", F.coalesce(F.size(F.json_object_keys("payload")) >= least, F.lit(False)))
 
 
-def _global_market(spark: SparkSession, input_dir: str, output_dir: str) -> DataFrame | None:
-    raw = spark.read.text(input_dir, pathGlobFilter="global_market_data.json", wholetext=True).select(F.col("value").alias("payload"))
+def _global_market(spark: SparkSession, input_dir: str, output_dir: str, layout: str) -> DataFrame | None:
+    place, pattern = _place(input_dir, "global_market_data", layout, "global_market_data.json")
+    try:
+        raw = spark.read.text(place, pathGlobFilter=pattern, wholetext=True).select(F.col("value").alias("payload"))
+    except AnalysisException:
+        return None
     if raw.isEmpty():
         return None
     sinks.write_documents(raw, f"{output_dir}/global_market_data_clean")
@@ -171,14 +199,14 @@ def _report(summary: DataFrame, output_dir: str) -> DataFrame:
 
 
 def load_stock_directory(spark: SparkSession, root: str, directory: str, kind: str = "stock", register: bool = True, pattern: str = "*_processed.csv",
-                         series: Column | None = None, batch: str | None = None) -> DataFrame:
+                         layout: str = NAMED, batch: str | None = None) -> DataFrame:
     """Files to assets, prices and indicators of the star schema: per symbol status, message and counts, also in the run log.
 
     Symbols are upper case, those of indices with a caret. Unknown ones are registered, or are errors if ``register`` is off.
     """
     began = time.monotonic()
-    name = stock_symbol(files.file_symbol(FILE) if series is None else series, F.lit(kind == "index"))
-    rows, status = _sorted_out(spark, directory, pattern, None, name, None)
+    name = stock_symbol(_name(layout, files.file_symbol(FILE)), F.lit(kind == "index"))
+    rows, status = _sorted_out(spark, *_place(directory, "processed", layout, pattern), None, name, None)
     names = F.coalesce(payloads.look_up("symbol", payloads.INDEX_NAMES), F.col("symbol")) if kind == "index" else F.col("symbol")
     rows = staged(rows)
     loads = {"prices": ("stock_price", rows, up.stock_price_rows)}
@@ -187,22 +215,22 @@ def load_stock_directory(spark: SparkSession, root: str, directory: str, kind: s
     return _load(spark, root, status, loads, kind, names, register, batch, directory, f"load_{kind}_data_", began)
 
 
-def load_crypto_directory(spark: SparkSession, root: str, directory: str, register: bool = True, series: Column | None = None, batch: str | None = None) -> DataFrame:
+def load_crypto_directory(spark: SparkSession, root: str, directory: str, register: bool = True, layout: str = NAMED, batch: str | None = None) -> DataFrame:
     """Coin folders to assets, market data, network data and indicators: per symbol status, message and counts, also in the run log.
 
     A coin's best market file counts: cycles before indicators before cleaned data; indicators come from the first two. Its name
     is that of its description, the cleaned one first.
     """
     began = time.monotonic()
-    coin = F.upper(files.parent_name(FILE)) if series is None else series
+    coin = F.upper(_name(layout, files.parent_name(FILE)))
     sources, status = [], None
     for kind in ("market_cycles", "indicators", "market_clean"):
-        rows, state = _sorted_out(spark, directory, f"*_{kind}.csv", None, coin, None)
+        rows, state = _sorted_out(spark, *_place(directory, kind, layout, f"*_{kind}.csv"), None, coin, None)
         sources.append((kind, rows))
         status = state if status is None else status.unionByName(state)
     best = F.min_by("status", F.when(F.col("status") == files.PROCESSED, 0).otherwise(1))
     market = staged(files.by_priority(sources))
-    info, network = (_first_document(spark, directory, k, coin) for k in ("info", "network"))
+    info, network = (_first_document(spark, directory, k, layout, coin) for k in ("info", "network"))
     found = status.select("series").unionByName(info.select("series")).unionByName(network.select("series")).distinct()
     status = staged(found.join(status.groupBy("series").agg(best.alias("status"), F.max("records").alias("records")), "series", "left").where(
         ~F.lower("series").isin(*NOT_SERIES)).select("series", F.coalesce("status", F.lit(files.PROCESSED)).alias("status"), F.coalesce("records", F.lit(0)).alias("records")))
@@ -217,11 +245,12 @@ def load_crypto_directory(spark: SparkSession, root: str, directory: str, regist
     return _load(spark, root, staged(named), loads, "crypto", names, register, batch, directory, "load_crypto_data_", began)
 
 
-def _first_document(spark: SparkSession, directory: str, kind: str, coin: Column) -> DataFrame:
+def _first_document(spark: SparkSession, directory: str, kind: str, layout: str, coin: Column) -> DataFrame:
     """``(series, payload)`` of the cleaned document, else the raw one."""
-    parts = [_documents(spark, directory, f"*_{name}.json", coin, 1).where("fit").withColumn("_rank", F.lit(rank)) for rank, name in enumerate(
-        (f"{kind}_clean", "network_data" if kind == "network" else kind))]
-    return staged(parts[0].unionByName(parts[1]).groupBy("series").agg(F.min_by("payload", "_rank").alias("payload")))
+    kinds = (f"{kind}_clean", "network_data" if kind == "network" else kind)
+    parts = [_documents(spark, directory, name, layout, coin, 1).where("fit").withColumn("_rank", F.lit(rank)) for rank, name in enumerate(kinds)]
+    both = parts[0].unionByName(parts[1]).withColumn("series", F.upper("series"))
+    return staged(both.groupBy("series").agg(F.min_by("payload", "_rank").alias("payload")))
 
 
 def _network_records(df: DataFrame) -> DataFrame:

@@ -24,6 +24,11 @@ def parent_name(path: str | Column = FILE) -> Column:
     return _plain(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1))
 
 
+def partition_value(path: str | Column = FILE, column: str = "[^/=]+") -> Column:
+    """The value of a partition folder ``column=value``, as Spark's writers name them."""
+    return _plain(_plain(F.regexp_extract(path, f"/{column}=([^/]+)/", 1)))
+
+
 def _plain(name: Column) -> Column:
     """A name out of a path, which Spark gives as a URI: ``^`` comes as ``%5E``, a plus sign as itself."""
     return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)

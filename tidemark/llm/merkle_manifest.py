@@ -1,15 +1,16 @@
 """Merkle manifest of a dataset, checked by a recursive query that climbs from every leaf.
 
 ``build`` hashes every row to a leaf, orders the leaves of a group (source), joins every three neighbours to one node
-until a group has one node left, and treats the groups' tops in the same way up to the root. Each level is written as
-runs of at most three siblings; ``nodes`` turns them into rows that know the digests to their left and right and their
-parent. ``climb`` is a recursive common table expression over these rows: each step joins the node a leaf has reached,
-gives out the siblings found there and folds the claimed digest with them, until there is no parent.
+until a group has one node left, and treats the groups' tops in the same way up to the root. The levels are stored in
+bands of ``LEVELS``: a row holds a node ``LEVELS`` above, and all digests between it and the nodes below. ``nodes`` turns
+these into rows that know the digests to their left and right on each level of the band and their parent at its end.
+``climb`` is a recursive common table expression over these rows: each step joins the node a leaf has reached, gives out
+the siblings found on the way up its band and folds the claimed digest with them, until there is no parent.
 
 No step needs a hot key in one task. The order comes from range partitions, so a group may fill many of them. Near the
 root all leaves of a group pass the same few nodes; therefore a node row is kept once for every ``BLOCK`` consecutive
-leaves below it, and a leaf joins the copy of its own block. All rows of a level number a third of those below, so the
-copies stay a small share of the leaves.
+leaves below it, and a leaf joins the copy of its own block. Of the nodes only those at the start of a band are needed,
+so what the recursion joins is small beside the leaves.
 
 Defined cases: every NULL column hashes as ``-``; a NULL group comes first and is another than the empty one; NULL ids
 come first; rows with equal ids go by leaf, equal rows are leaves of their own; a group of one leaf has that leaf as its
@@ -30,8 +31,11 @@ from tidemark.llm.ordering import in_order
 from tidemark.session import staged
 
 FAN = 3
-#: Leaves that share one copy of a node row: a power of the fan, so that blocks fall on node borders.
-BLOCK = FAN ** 6
+#: Levels that a step of the climb passes, and the nodes whose ancestor that far up is the same.
+LEVELS = 3
+WIDE = FAN ** LEVELS
+#: Leaves that share one copy of a node row: a power of WIDE, so that blocks fall on node borders.
+BLOCK = WIDE ** 2
 #: The tree over the groups' tops.
 TOP = -1
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -39,10 +43,10 @@ COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 @dataclass(frozen=True)
 class Manifest:
-    """``leaves``: ordinal, tree, pos, n, leaf (binary) and carried columns; ``runs``: written levels; ``root``: hex or None."""
+    """``leaves``: ordinal, tree, pos, n, leaf (binary) and carried columns; ``bands``: written levels, the lowest first; ``root``: hex or None."""
 
     leaves: DataFrame
-    runs: list[DataFrame]
+    bands: list[DataFrame]
     root: str | None
 
 
@@ -59,25 +63,34 @@ def row_digest(columns: Sequence[Column]) -> Column:
     return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
-def _levels(nodes: DataFrame, most: int) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Runs of every level, written, and the top nodes met on the way.
+def _bands(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
+    """Bands of levels, written, and the top node of every tree.
 
     ``nodes``: tree, pos, n (nodes of that tree on the level), digest, low and high (the leaves below). ``most`` is the
-    largest n, which says how many levels there are.
+    largest n, which says how many bands there are. A written row: tree, run, band, n, kids and the digests d0 … of its
+    levels; a tree's single node is not hashed again.
     """
-    runs, tops, level = [], [nodes.filter("n = 1")], 0
-    while most > 1:
-        joined = nodes.filter("n > 1").groupBy("tree", F.expr(f"pos div {FAN}").alias("run")).agg(
+    bands, tops = [], None
+    while True:
+        joined = nodes.groupBy("tree", F.expr(f"pos div {WIDE}").alias("run")).agg(
             F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "digest", "low", "high"))).alias("kids"))
-        written = staged(joined.withColumn("level", F.lit(level)))
-        runs.append(written)
-        nodes = written.select(
-            "tree", F.col("run").alias("pos"), F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n"),
-            F.unhex(F.sha2(F.concat_ws("", F.transform("kids", lambda k: hexed(k["digest"]))), 256)).alias("digest"),
-            F.expr("kids[0].low").alias("low"), F.expr("kids[size(kids) - 1].high").alias("high"))
-        tops.append(nodes.filter("n = 1"))
-        most, level = -(-most // FAN), level + 1
-    return runs, tops
+        joined = joined.withColumn("d0", F.transform("kids", lambda k: k["digest"]))
+        for k in range(LEVELS):
+            one = f"unhex(sha2(array_join(transform(slice(d{k}, {FAN} * r + 1, {FAN}), d -> lower(hex(d))), ''), 256))"
+            joined = joined.withColumn(f"d{k + 1}", F.expr(
+                f"case when n > {FAN ** k} then transform(sequence(0, (size(d{k}) - 1) div {FAN}), r -> {one}) else d{k} end"))
+        kids = F.transform("kids", lambda k: F.struct(k["pos"].alias("pos"), k["low"].alias("low"), k["high"].alias("high")))
+        written = staged(joined.select("tree", "run", F.lit(len(bands)).alias("band"), "n", kids.alias("kids"), *[f"d{k}" for k in range(LEVELS)],
+                                       F.expr(f"d{LEVELS}[0]").alias("digest")))
+        bands.append(written)
+        nodes = written.select("tree", F.col("run").alias("pos"), F.expr(f"(n + {WIDE - 1}) div {WIDE}").alias("n"), "digest",
+                               F.expr("kids[0].low").alias("low"), F.expr("kids[size(kids) - 1].high").alias("high"))
+        done = nodes.filter("n = 1")
+        tops = done if tops is None else tops.unionByName(done)
+        most = -(-most // WIDE)
+        if most <= 1:
+            return bands, tops
+        nodes = nodes.filter("n > 1")
 
 
 def build(rows: DataFrame, group: str, by: Sequence[str], leaf: str = "leaf") -> Manifest:
@@ -95,62 +108,67 @@ def build(rows: DataFrame, group: str, by: Sequence[str], leaf: str = "leaf") ->
     if not size["groups"]:
         return Manifest(leaves, [], None)
     bottom = leaves.select("tree", "pos", "n", F.col(leaf).alias("digest"), F.col("ordinal").alias("low"), F.col("ordinal").alias("high"))
-    runs, tops = _levels(bottom, size["most"])
-    summit = tops[0]
-    for more in tops[1:]:
-        summit = summit.unionByName(more)
-    summit = staged(summit.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), F.lit(size["groups"]).cast("long").alias("n"),
-                                  "digest", "low", "high"))
-    above, last = _levels(summit, size["groups"])
-    return Manifest(leaves, runs + above, last[-1].select(hexed(F.col("digest"))).first()[0])
+    bands, tops = _bands(bottom, size["most"])
+    summit = staged(tops.select(F.lit(TOP).cast("long").alias("tree"), F.col("tree").alias("pos"), F.lit(size["groups"]).cast("long").alias("n"), "digest", "low", "high"))
+    if size["groups"] == 1:
+        return Manifest(leaves, bands, summit.select(hexed(F.col("digest"))).first()[0])
+    above, last = _bands(summit, size["groups"])
+    return Manifest(leaves, bands + above, last.select(hexed(F.col("digest"))).first()[0])
+
+
+def _rows(band: DataFrame) -> DataFrame:
+    """The nodes at the start of a band: per level what stands left (b0 …) and right (a0 …), NULL on levels that are not hashed; own digest; parent."""
+    rows = band.select("tree", "band", "run", "n", *[f"d{k}" for k in range(LEVELS)], F.posexplode("kids").alias("i", "kid"))
+    beside, at = {}, "i"
+    for k in range(LEVELS):
+        joined = f"case when n > {FAN ** k} then unhex(array_join(transform(slice(d{k}, {{}}), d -> hex(d)), '')) end"
+        first = f"{at} div {FAN} * {FAN}"
+        beside[f"b{k}"] = F.expr(joined.format(f"{first} + 1, {at} - {first}"))
+        beside[f"a{k}"] = F.expr(joined.format(f"{at} + 2, {first} + {FAN - 1} - {at}"))
+        at = f"({at} div {FAN})"
+    top = (F.col("n") <= WIDE) & (F.col("tree") != TOP)  # the run's node is its group's top, known to the tree above by the group's number
+    return rows.select(
+        "tree", "band", F.col("kid.pos").alias("pos"), F.col("kid.low").alias("low"), F.col("kid.high").alias("high"), *[c.alias(n) for n, c in beside.items()],
+        F.when((F.col("tree") == TOP) & (F.col("band") == 0), F.expr("d0[i]")).alias("own"),
+        F.when(top, F.lit(TOP)).otherwise(F.col("tree")).cast("long").alias("up_tree"), F.when(top, F.lit(0)).otherwise(F.col("band") + 1).alias("up_band"),
+        F.when(top, F.col("tree")).otherwise(F.col("run")).alias("up_pos"))
 
 
 def nodes(manifest: Manifest) -> DataFrame:
-    """All nodes but the root, a row for every block of leaves below: their siblings' digests on either side and their parent.
-
-    ``own`` is the node's digest where it is a group's top.
-    """
+    """All nodes at the start of a band above the leaves, a row for every block of leaves below."""
     every = None
-    for run in manifest.runs:
-        every = run if every is None else every.unionByName(run)
-    if every is None:
-        spark = manifest.leaves.sparkSession
-        return spark.createDataFrame([], "tree long, level int, pos long, block long, before binary, after binary, own binary, "
-                                         "up_tree long, up_level int, up_pos long")
-    beside = "unhex(array_join(transform({}, k -> hex(k.digest)), ''))"
-    top = (F.col("n") <= FAN) & (F.col("tree") != TOP)  # the run's node is its group's top, known to the tree above by the group's number
-    rows = every.select("tree", "level", "run", "n", "kids", F.posexplode("kids").alias("i", "kid"))
-    return rows.select(
-        "tree", "level", F.col("kid.pos").alias("pos"),
-        F.expr(beside.format("slice(kids, 1, i)")).alias("before"), F.expr(beside.format("slice(kids, i + 2, 3)")).alias("after"),
-        F.when((F.col("tree") == TOP) & (F.col("level") == 0), F.col("kid.digest")).alias("own"),
-        F.when(top, F.lit(TOP)).otherwise(F.col("tree")).cast("long").alias("up_tree"),
-        F.when(top, F.lit(0)).otherwise(F.col("level") + 1).alias("up_level"),
-        F.when(top, F.col("tree")).otherwise(F.col("run")).alias("up_pos"),
-        F.explode(F.expr(f"sequence(kid.low div {BLOCK}, kid.high div {BLOCK})")).alias("block"))
+    for band in manifest.bands:
+        rows = _rows(band).where((F.col("band") > 0) | (F.col("tree") == TOP))
+        every = rows if every is None else every.unionByName(rows)
+    return every.withColumn("block", F.explode(F.expr(f"sequence(low div {BLOCK}, high div {BLOCK})"))).drop("low", "high")
+
+
+def _folded(start: str) -> str:
+    """SQL: a digest after all levels of a band."""
+    for k in range(LEVELS):
+        start = f"case when n.b{k} is null then {start} else unhex(sha2(concat(lower(hex(n.b{k})), lower(hex({start})), lower(hex(n.a{k}))), 256)) end"
+    return start
 
 
 def climb(manifest: Manifest, claimed: Column) -> DataFrame:
-    """Every leaf's way to the root: ordinal, proof (siblings' hex digests, joined), top and folded (binary), from a claimed digest."""
+    """Every leaf's way to the root from a claimed digest: ordinal, proof (SHA-256 of the siblings' hex digests), top and folded, all binary."""
     spark = manifest.leaves.sparkSession
-    start = manifest.leaves.select(
-        "ordinal", F.when(F.col("n") == 1, F.lit(TOP)).otherwise(F.col("tree")).cast("long").alias("tree"), F.lit(0).alias("level"),
-        F.when(F.col("n") == 1, F.col("tree")).otherwise(F.col("pos")).alias("pos"), claimed.alias("folded"))
+    siblings = ", ".join(f"coalesce(n.{side}{k}, unhex(''))" for k in range(LEVELS) for side in "ba")
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit)
-    spark.conf.set(limit, "-1")  # the climb has a row per leaf and level, whatever the number of leaves
+    spark.conf.set(limit, "-1")  # the climb has a row per leaf and band, whatever the number of leaves
     try:
         steps = spark.sql(f"""
-            with recursive up (ordinal, step, tree, level, pos, folded, siblings, own) as (
-                select ordinal, 0, tree, level, pos, folded, cast(null as binary), cast(null as binary) from {{start}}
+            with recursive up (ordinal, step, tree, band, pos, folded, siblings, own) as (
+                select l.ordinal, 0, n.up_tree, n.up_band, n.up_pos, {_folded("l.claimed")}, concat({siblings}), n.own
+                from {{leaves}} l join {{first}} n on n.low = l.ordinal
                 union all
-                select up.ordinal, up.step + 1, n.up_tree, n.up_level, n.up_pos,
-                       unhex(sha2(concat(lower(hex(n.before)), lower(hex(up.folded)), lower(hex(n.after))), 256)), concat(n.before, n.after), n.own
-                from up join {{nodes}} n on n.tree = up.tree and n.level = up.level and n.pos = up.pos and n.block = up.ordinal div {BLOCK})
+                select up.ordinal, up.step + 1, n.up_tree, n.up_band, n.up_pos, {_folded("up.folded")}, concat({siblings}), n.own
+                from up join {{nodes}} n on n.tree = up.tree and n.band = up.band and n.pos = up.pos and n.block = up.ordinal div {BLOCK})
             select ordinal, array_sort(collect_list(struct(step, folded, siblings, own))) as way from up group by ordinal
-            """, start=start, nodes=staged(nodes(manifest)))
+            """, leaves=manifest.leaves.select("ordinal", claimed.alias("claimed")), first=_rows(manifest.bands[0]), nodes=staged(nodes(manifest)))
         ways = steps.select(
-            "ordinal", F.expr("array_join(transform(filter(way, w -> w.siblings is not null), w -> lower(hex(w.siblings))), '')").alias("proof"),
+            "ordinal", F.expr("unhex(sha2(array_join(transform(way, w -> lower(hex(w.siblings))), ''), 256))").alias("proof"),
             F.expr("get(filter(way, w -> w.own is not null), 0).own").alias("top"), F.expr("way[size(way) - 1].folded").alias("folded"))
         return staged(ways)
     finally:
@@ -159,12 +177,16 @@ def climb(manifest: Manifest, claimed: Column) -> DataFrame:
 
 def verify(manifest: Manifest, claimed: Column, *keep: str) -> DataFrame:
     """Per leaf: the kept columns, leaf, subroot, root, proof_sha256, folded_root and verified, all digests in hex."""
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in manifest.leaves.select(*keep).schema)
+    if not manifest.bands:
+        return manifest.leaves.sparkSession.createDataFrame(
+            [], f"{shape}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
     ways = climb(manifest, claimed)
     root = F.lit(manifest.root).cast("string")
     folded = hexed(F.col("folded"))
     return manifest.leaves.select("ordinal", "leaf", *keep).join(ways, "ordinal").select(
         *keep, hexed(F.col("leaf")).alias("leaf"), F.coalesce(hexed(F.col("top")), root).alias("subroot"), root.alias("root"),
-        F.sha2("proof", 256).alias("proof_sha256"), folded.alias("folded_root"), (folded == root).alias("verified"))
+        hexed(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root"), (folded == root).alias("verified"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -56,22 +56,36 @@ def test_codec_on_all_entries_joined_at_random(library):
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def letters(own, word):
+    coded = np.frombuffer(word.encode(), np.uint8).astype(int)
+    return [*own.letters[coded[:-1]].tolist(), int(own.letters[coded[-1] + 256])]
+
+
 def test_stay_apart_is_what_merging_says():
     own, rng = speculative_bpe.codec(WORD_BPE), random.Random(4)
-    inner = [(t, i) for t, i in own.vocab.items() if not t.endswith(speculative_bpe.END) and len(t) < 6]
-    last = [(t, i) for t, i in own.vocab.items() if t.endswith(speculative_bpe.END) and len(t) < 7]
+    inner = [(t, i) for t, i in own.vocab.items() if t.isascii() and not t.endswith(speculative_bpe.END) and len(t) < 6]
+    last = [(t[:-1], i) for t, i in own.vocab.items() if t.isascii() and t.endswith(speculative_bpe.END) and len(t) < 7]
     pairs = [(rng.choice(inner), rng.choice(last)) for _ in range(4000)]
     apart = own.stay_apart(np.asarray([a[1] for a, _ in pairs]), np.asarray([b[1] for _, b in pairs]))
-    assert apart.tolist() == [own.merge(a[0] + b[0]) == [a[1], b[1]] for a, b in pairs]
+    assert apart.tolist() == [own.merge_long(letters(own, a[0] + b[0])) == [a[1], b[1]] for a, b in pairs]
     assert 0 < apart.sum() < len(pairs)
 
 
 def test_both_merges_agree():
     own, rng = speculative_bpe.codec(WORD_BPE), random.Random(5)
-    for _ in range(300):
-        word = "".join(rng.choice(rng.choice(["ab", "a", "thein"])) for _ in range(rng.randrange(1, speculative_bpe.LONG_WORD - 1))) + speculative_bpe.END
-        ids = [own.vocab[c] for c in word[:-2]] + [own.vocab[word[-2:]]]
-        assert own.merge(word) == own._merge_long(ids)
+    words = ["".join(rng.choice(rng.choice(["ab", "a", "thein"])) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+    spelled = [letters(own, w) for w in words]
+    ids, word = own.merge(np.concatenate(spelled), np.repeat(np.arange(len(words)), [len(x) for x in spelled]))
+    assert [ids[word == k].tolist() for k in range(len(words))] == [own.merge_long(x) for x in spelled]
+
+
+def test_table_of_codes():
+    rng = np.random.default_rng(0)
+    codes = rng.choice(10**12, 5000, replace=False)
+    table = speculative_bpe._Table(codes, np.arange(5000))
+    asked = np.concatenate([codes, rng.choice(10**12, 5000)])
+    place = {int(c): k for k, c in enumerate(codes)}
+    assert table.get(asked, -1).tolist() == [place.get(int(c), -1) for c in asked]
 
 
 def test_memory_of_words_does_not_change_ids(library, monkeypatch):
@@ -266,7 +280,7 @@ def test_manifest(spark, tmp_path):
 
 
 def test_manifest_with_small_blocks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(merkle_manifest, "BLOCK", 3)
+    monkeypatch.setattr(merkle_manifest, "BLOCK", merkle_manifest.WIDE)
     rng = random.Random(3)
     rows = documents(300, rng, ["a", "b", None, "a"])
     assert order(manifest_of(spark, rows, tmp_path)) == order(manifest_by_hand(rows))

@@ -9,6 +9,7 @@ from queries.prices import BARS_REC, LAG, RSI_REC, ema_sql, win
 from tidemark.operators import seasonality as se
 from tidemark.operators import stationarity as st
 from tidemark.operators import trend as tr
+from tidemark.operators.series import with_ordinal
 from tidemark.session import staged
 
 Q, SQL = {}, {}
@@ -278,6 +279,86 @@ def decompose_multiplicative(spark, d):
     return rnd(se.decompose(bars(spark, d), 30, "multiplicative"), 4, "trend", "seasonal", "residual", keep=("symbol", "date", "close"))
 
 
+#: A period for each symbol, laid over its bars.
+PERIODS = {"AF": 11, "AO": 14, "NF": 22, "NO": 31, "RF": 38, "RO": 45}
+SEASON_SQL = BARS_REC.replace("b as materialized (", "b0 as materialized (", 1) + f""",
+b as materialized (select symbol, date, rn, close * 0.05 + 20000 * abs((rn % p)::double / p - 0.5) + 5000 as close
+  from (select *, case symbol {' '.join(f"when '{s}' then {p}" for s, p in PERIODS.items())} else 20 end as p from b0))"""
+
+
+def seasonal_bars(spark, d):
+    """Bars in which each symbol has a period of its own."""
+    rows = with_ordinal(bars(spark, d), out="rn")
+    p = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for item in PERIODS.items() for x in item]), F.col("symbol")), F.lit(20))
+    wave = F.abs((F.col("rn") % p).cast("double") / p - 0.5)
+    return staged(rows.select("symbol", "date", (F.col("close") * 0.05 + 20000 * wave + 5000).alias("close")))
+
+
+def decompose_auto_sql(model: str) -> str:
+    op = "-" if model == "additive" else "/"
+    return f"""with recursive {SEASON_SQL}, {LEVEL_ACF}, {peaks_sql('acf', 'symbol', 'lag', 'c', 0.1, 5)},
+pd as (select l.symbol, coalesce(min(lag), 30)::int as period from l left join peaks on peaks.symbol = l.symbol group by 1),
+dn as (select b.*, {N.replace('symbol', 'b.symbol')}, period, period // 2 as h from b join pd using (symbol)),
+tt as (select x.symbol, x.rn, case when x.rn > any_value(x.h) and x.rn <= any_value(x.n) - any_value(x.h) then
+    (sum(y.close) - case when any_value(x.period) % 2 = 0 then 0.5 * (min_by(y.close, y.rn) + max_by(y.close, y.rn)) else 0 end) / any_value(x.period) end as t0
+  from dn x join dn y on y.symbol = x.symbol and y.rn between x.rn - x.h and x.rn + x.h group by 1, 2),
+tj as (select dn.*, t0 from dn join tt using (symbol, rn)),
+ln as (select symbol, regr_slope(t0, rn) filter (rn <= h + period) as hk, regr_intercept(t0, rn) filter (rn <= h + period) as hc, regr_slope(t0, rn) filter (rn > n - h - period) as fk,
+  regr_intercept(t0, rn) filter (rn > n - h - period) as fc from tj where t0 is not null group by symbol),
+te as (select tj.*, coalesce(t0, case when rn <= h then hc + hk * rn else fc + fk * rn end) as trend from tj join ln using (symbol) where n >= 2 * period),
+ph as (select symbol, (rn - 1) % period as p, avg(close {op} trend) as v from te group by 1, 2),
+sn as (select symbol, p, v {op} avg(v) over (partition by symbol) as seasonal from ph)
+select te.symbol, date, round(close, 6) as close, period, round(trend, 6) as trend, round(seasonal, 6) as seasonal, round((close {op} trend) {op} seasonal, 6) as residual
+from te join sn on sn.symbol = te.symbol and sn.p = (te.rn - 1) % te.period"""
+
+
+@query("decompose_auto", decompose_auto_sql("additive"))
+def decompose_auto(spark, d):
+    """Every series with the period found in it."""
+    return rnd(se.decompose(seasonal_bars(spark, d)), 6, "close", "trend", "seasonal", "residual", keep=("symbol", "date", "period"))
+
+
+@query("decompose_auto_multiplicative", decompose_auto_sql("multiplicative"))
+def decompose_auto_multiplicative(spark, d):
+    return rnd(se.decompose(seasonal_bars(spark, d), model="multiplicative"), 6, "close", "trend", "seasonal", "residual", keep=("symbol", "date", "period"))
+
+
+# -- windows that follow from the length ---------------------------------------------------------
+
+SHARED = f"""{a.MANY_SERIES}, nn as (select *, {N} from b)"""
+
+
+@query("slopes_by_length", f"""with {SHARED}, w0 as (select *, least(20, n // 4) as w, least(20, n // 4) // 2 as k from nn where n >= 8),
+s as (select x.symbol, x.rn, any_value(x.n) as n, any_value(x.w) as w, any_value(x.k) as k, avg(y.close) as y from w0 x join w0 y on y.symbol = x.symbol and y.rn between x.rn - x.k + 1 and x.rn
+  where x.rn >= x.k group by 1, 2),
+t as (select s.*, m * w as size, m from s, (values (1), (2), (4)) v(m) where n - rn < m * w and n - (k - 1) >= m * w),
+f as (select symbol, m, any_value(size) as size, regr_slope(y, rn) as sl, coalesce(corr(y, rn), 0) as r, arg_min(y, rn) as y0 from t group by 1, 2)
+select symbol, size as "window", m as windows, case when sl > 0 then 'uptrend' else 'downtrend' end as direction, round(sl / y0 * 100, 6) as normalized_slope, round(r * r, 6) as r_squared from f""")
+def slopes_by_length(spark, d):
+    """Very many short series, each with the window its length allows, in one plan."""
+    out = tr.slopes(staged(a.many_series(spark, d)), tr.Share(20, 4))
+    return out.select("symbol", "window", "windows", "direction", *[F.round(c, 6).alias(c) for c in ("normalized_slope", "r_squared")])
+
+
+@query("envelope_by_length", f"""with {SHARED}, w0 as (select symbol, rn, close, n, least(30, n // 4) as w from nn where n >= 8),
+m as (select x.symbol, x.rn, any_value(x.n) as n, any_value(x.w) as w, avg(y.close) as m, stddev_samp(y.close) as d from w0 x join w0 y on y.symbol = x.symbol and y.rn between x.rn - x.w + 1 and x.rn
+  where x.rn >= x.w group by 1, 2)
+select symbol, max(n) as n, round(min(m), 5) as mean_min, round(max(m), 5) as mean_max, round(min(d), 5) as std_min, round(max(d), 5) as std_max,
+  round(arg_max(m, rn) / max(m) filter (rn = w + 1) - 1, 5) as mean_change_pct from m group by symbol""")
+def envelope_by_length(spark, d):
+    out = st.rolling_envelope(staged(a.many_series(spark, d)), tr.Share(30, 4))
+    return out.select("symbol", "n", *[F.round(c, 5).alias(c) for c in ("mean_min", "mean_max", "std_min", "std_max")], F.round("mean_change_pct", 5).alias("mean_change_pct"))
+
+
+@query("turning_points_by_length", f"""with {SHARED}, w0 as (select symbol, rn - 1 as i, close as x, n, least(20, n // 5) as w from nn where n >= 10),
+r as (select symbol, x, i - greatest(n - 10 * w, 0) as i, least(n, 10 * w) as m, w from w0 where i >= n - 10 * w),
+e as (select p.symbol, p.i, any_value(p.x) as x, max(q.x) as hi, min(q.x) as lo from r p join r q on q.symbol = p.symbol and q.i between p.i - p.w and p.i + p.w - 1 where p.i >= p.w and p.i < p.m - p.w group by 1, 2)
+select symbol, case when x = hi then 'max' else 'min' end as side, x from e where x = hi or x = lo""")
+def turning_points_by_length(spark, d):
+    size = tr.Share(20, 5)
+    return tr.turning_points(tr.recent_rows(staged(a.many_series(spark, d)), size), size)
+
+
 # -- stationarity --------------------------------------------------------------------------------
 
 

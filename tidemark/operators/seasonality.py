@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import ratio
 from tidemark.operators.series import BLK, KEYS, RN, Step, compute, lay_out
 from tidemark.operators.trend import find_peaks, with_length
+from tidemark.session import staged
 
 MAX_LAG = 365
 BLOCK_ROWS_FOR_LAGS = 32768
@@ -126,23 +127,44 @@ def calendar_patterns(means: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame
     return out.where(F.col("spread") > limit).withColumn("significance", ratio(F.col("spread"), F.col("_dev"))).drop("_dev")
 
 
-def decompose(df: DataFrame, period: int, model: str = "additive", column: str = "close", keys: Sequence[str] = KEYS, order: str = "date",
+def _centred(column: str, keys: Sequence[str], period: Column, half: Column) -> Column:
+    """Centred average over a window that differs from series to series.
+
+    Frames have constant bounds, so the order is scaled instead: rows up to ``half`` away lie less than 1 apart when row
+    numbers are divided by ``half + 1/2``. The outer rows of an even period count half.
+    """
+    frame = Window.partitionBy(*keys, BLK).orderBy(F.col(RN) / (half + 0.5)).rangeBetween(-1, 1)
+    ends = (F.first(column).over(frame) + F.last(column).over(frame)) / 2
+    total = F.sum(column).over(frame)
+    return F.when(period % 2 == 1, total / period).otherwise((total - ends) / period)
+
+
+def decompose(df: DataFrame, period: int | None = None, model: str = "additive", column: str = "close", keys: Sequence[str] = KEYS, order: str = "date",
               block_rows: int | None = None) -> DataFrame:
     """Trend by centred average (ends by a line through the nearest ``period`` points), seasonal, residual.
 
-    Series shorter than two periods are left out.
+    Without a ``period`` each series takes the one :func:`detect_period` finds in it, given as a column; all of
+    them are one plan. Series shorter than two periods are left out.
     """
     if model not in ("additive", "multiplicative"):
         raise ValueError(f"unknown model {model}")
     keys = list(keys)
-    half = period // 2
-    s = lay_out(df.where(F.col(column).isNotNull()).select(*keys, order, column), half, half, keys, order, block_rows)
-    s = with_length(s)
-    if period % 2:
-        mean = F.avg(column).over(s.over(-half, half))
+    known = df.where(F.col(column).isNotNull()).select(*keys, order, column)
+    if period is None:
+        known = staged(known)
+        margin = MAX_LAG // 2
+        s = lay_out(known, margin, margin, keys, order, block_rows).join_per_series(detect_period(known, column, keys=keys, order=order))
+        period, half = F.col("period"), F.floor(F.col("period") / 2)
+        s = with_length(s)
+        mean = _centred(column, keys, period, half)
     else:
-        ends = (F.lag(column, half).over(s.over()) + F.lead(column, half).over(s.over())) / 2
-        mean = (F.coalesce(F.sum(column).over(s.over(-half + 1, half - 1)), F.lit(0.0)) + ends) / period
+        half = period // 2
+        s = with_length(lay_out(known, half, half, keys, order, block_rows))
+        if period % 2:
+            mean = F.avg(column).over(s.over(-half, half))
+        else:
+            ends = (F.lag(column, half).over(s.over()) + F.lead(column, half).over(s.over())) / 2
+            mean = (F.coalesce(F.sum(column).over(s.over(-half + 1, half - 1)), F.lit(0.0)) + ends) / period
     inside = (F.col(RN) > half) & (F.col(RN) <= F.col("_len") - half)
     s = s.add({"trend": F.when(inside, mean)})
     head = F.col("trend").isNotNull() & (F.col(RN) <= half + period)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import ratio
 from tidemark.operators import indicators as ind
 from tidemark.operators.seasonality import BLOCK_ROWS_FOR_LAGS, lag_sums
-from tidemark.operators.series import BLK, KEYS, RN, compute, lay_out
+from tidemark.operators.series import BLK, KEYS, RN, Step, compute, lay_out
+from tidemark.operators.trend import Share, deviation_of, last_of, mean_of, wide_enough, window_of, with_length
 from tidemark.session import staged
 
 #: Published KPSS level-stationarity critical values and their p-values.
@@ -172,15 +173,23 @@ def adf(df: DataFrame, column: str = "close", keys: Sequence[str] = KEYS, order:
         solve, f"{kinds}, n long, used_lag int, statistic double, p_value double, critical_1 double, critical_5 double, critical_10 double, is_stationary boolean")
 
 
-def rolling_envelope(df: DataFrame, window: int = 30, column: str = "close", keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
+def rolling_envelope(df: DataFrame, window: int | Share = 30, column: str = "close", keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
     """Range of the rolling mean and deviation, and their last value against row ``window + 1``."""
     known = df.where(F.col(column).isNotNull()).select(*keys, order, column)
-    out = compute(known, [ind.sma(window, column, "_m"), ind.volatility(window, column, "_d")], keys=keys, order=order, keep_ordinal="rn")
-    then = F.col("rn") == window + 1
+    if isinstance(window, Share):
+        def build(s):
+            rows = last_of(s, column, window_of(window, F.col("_len")), window.full)
+            return s.add({"_rows": rows}).add({"_m": mean_of(F.col("_rows")), "_d": deviation_of(F.col("_rows"))}).drop("_rows")
+
+        out = compute(known, Step(with_length), Step(build, window.full - 1), keys=keys, order=order, keep_ordinal="rn")
+    else:
+        out = compute(known, [ind.sma(window, column, "_m"), ind.volatility(window, column, "_d")], keys=keys, order=order, keep_ordinal="rn")
+        out = out.withColumn("_len", F.lit(0))
+    then = F.col("rn") == window_of(window, F.col("_len")) + 1
     agg = out.groupBy(*keys).agg(
         F.max("rn").alias("n"), *[f(c).alias(f"{name}_{side}") for name, c in (("mean", "_m"), ("std", "_d")) for side, f in (("min", F.min), ("max", F.max))],
         *[F.max_by(c, "rn").alias(f"{c}_last") for c in ("_m", "_d")], *[F.max(F.when(then, F.col(c))).alias(f"{c}_then") for c in ("_m", "_d")])
-    return agg.where(F.col("n") >= 2 * window).select(
+    return agg.where((F.col("n") >= 2 * window_of(window, F.col("n"))) & wide_enough(window, F.col("n"))).select(
         *keys, "n", "mean_min", "mean_max", "std_min", "std_max",
         (ratio(F.col("_m_last"), F.col("_m_then")) - 1).alias("mean_change_pct"), (ratio(F.col("_d_last"), F.col("_d_then")) - 1).alias("std_change_pct"))
 
@@ -194,7 +203,7 @@ CONSENSUS = {
 }
 
 
-def stationarity(df: DataFrame, window: int = 30, column: str = "close", keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
+def stationarity(df: DataFrame, window: int | Share = 30, column: str = "close", keys: Sequence[str] = KEYS, order: str = "date") -> DataFrame:
     """Both tests, their consensus and the rolling envelope for series of at least two windows."""
     a = adf(df, column, keys, order).select(*keys, *[F.col(c).alias(f"adf_{c}") for c in ("statistic", "p_value", "is_stationary")])
     k = kpss(df, column, keys=keys, order=order).select(*keys, *[F.col(c).alias(f"kpss_{c}") for c in ("statistic", "p_value", "is_stationary")])

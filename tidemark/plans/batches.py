@@ -162,32 +162,20 @@ def correlation_batch(prices: DataFrame, class_pairs: Sequence[tuple[str, str]],
 # -- trend ---------------------------------------------------------------------------------------
 
 
-def with_effective_window(df: DataFrame, operator: Callable[[DataFrame, int], DataFrame], full: int, share: int, least: int = 2, keys=KEYS) -> DataFrame:
-    """Run ``operator`` with window min(full, rows // share) per series.
-
-    Frames need constant sizes: series long enough for the full window run together, shorter ones
-    once per distinct size (at most ``full`` sizes, which is all that comes to the driver).
-    """
-    sizes = staged(df.groupBy(*keys).agg(F.least(F.lit(full), F.floor(F.count(F.lit(1)) / share)).cast("int").alias("_w")))
-    found = [r[0] for r in sizes.select("_w").where(F.col("_w") >= least).distinct().collect()]
-    out = None
-    for w in sorted(found, reverse=True):
-        part = operator(df.join(sizes.where(F.col("_w") == w).select(*keys), [*keys], "left_semi"), w)
-        out = part if out is None else out.unionByName(part)
-    return operator(df, full) if out is None else out
+#: The largest window of each analysis and the share of a shorter series' rows it may take.
+WINDOWS = {"direction": tr.Share(20, 4), "changes": tr.Share(20, 4), "levels": tr.Share(20, 5), "phase": tr.Share(90, 3), "stationarity": tr.Share(30, 4)}
 
 
 def trend_batch(df: DataFrame, column: str = "close") -> dict[str, DataFrame]:
-    """Direction, changes, levels, seasonality, phase and stationarity of every series."""
-    s = staged(df)
-    run = lambda fn, full, share: with_effective_window(s, fn, full, share)
+    """Direction, changes, levels, seasonality, phase and stationarity of every series, each one plan for all lengths."""
+    s, w = staged(df), WINDOWS
     return {
-        "direction": run(lambda d, w: tr.direction_summary(d, w, column=column), 20, 4),
-        "changes": run(lambda d, w: tr.trend_changes(d, w, column=column), 20, 4),
-        "levels": run(lambda d, w: tr.support_resistance(d, w, column=column), 20, 5),
+        "direction": tr.direction_summary(s, w["direction"], column=column),
+        "changes": tr.trend_changes(s, w["changes"], column=column),
+        "levels": tr.support_resistance(s, w["levels"], column=column),
         "periods": se.seasonal_periods(s, column), "calendar": se.calendar_patterns(se.calendar_means(s, column)),
-        "phase": run(lambda d, w: tr.market_phase(tr.phase_inputs(d, w, column)), 90, 3),
-        "stationarity": run(lambda d, w: st.stationarity(d, w, column), 30, 4),
+        "phase": tr.market_phase(tr.phase_inputs(s, w["phase"], column)),
+        "stationarity": st.stationarity(s, w["stationarity"], column),
     }
 
 

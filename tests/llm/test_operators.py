@@ -299,6 +299,32 @@ PAGE = ("<html><head><title>t</title></head><body><nav><ul><li>Home</li></ul></n
         "<div class='comments'>reader</div></{tag}><script>if(a<b)'</p>'</script><footer>&copy; x</footer></body></html>")
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ('<article><h1 class="article-header">Head</h1><p>Body', "Head Body"),
+    ('<article><div class="content with-sidebar"><p>Body</p></div></article>', "Body"),
+    ('<article><p class="share">tell all<p>Body</article>', "Body"),
+    ('<article><p class="share">tell <b>all</b></p><p>Body</p></article>', "Body"),
+    ('<article><div class="sidebar main-sidebar">x</div><p>Body</p></article>', "Body"),
+    ('<article><p>One</p><div class="post-comments"><p>no</div><p>Two</article>', "One Two"),
+])
+def test_what_names_say(html, text):
+    marked, found = main_text.blocks(html)
+    assert marked and " ".join(t for zone, t in found if zone == main_text.INSIDE) == text
+
+
+def test_unique_tokens_against_a_direct_version():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        sizes = rng.integers(1, 20, rng.integers(1, 8))
+        n, open_ = int(sizes.sum()), rng.random(len(sizes)) < 0.8
+        starts = np.flatnonzero(rng.random(max(0, n - main_text.RUN + 1)) < 0.25)
+        block = np.repeat(np.arange(len(sizes)), sizes)
+        over = {p for s in starts for p in range(s, s + main_text.RUN)}
+        inside = {p for s in starts if block[s] == block[s + main_text.RUN - 1] for p in range(s, s + main_text.RUN)}
+        want = [open_[block[p]] and p not in inside and not all(q in over for q in np.flatnonzero(block == block[p])) for p in range(n)]
+        assert main_text._unique(starts, sizes, open_).tolist() == want
+
+
 def test_main_text(spark):
     notice = "<div>we use small files to make this site work better for all of you</div>"
     rows = [(k, f"https://h.example/{k}", PAGE.format(k=k, tag="article", extra=notice)) for k in range(3)]
@@ -307,6 +333,7 @@ def test_main_text(spark):
              (33, "https://x/", "<article><p>cut &am")]
     got = {r["page_id"]: r["text"] for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[k] == got[10 + k] == f"Title {k} Para & one bold {k}. Two {k}" for k in range(3))
+    assert main_text.extract(spark.createDataFrame(rows[:0] or [], "page_id long, url string, html string")).collect() == []
     assert got[20].startswith("we use small files") and got[30] == got[31] == "" and got[32] == "plain <words>" and got[33] == "cut &am"
     assert main_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 

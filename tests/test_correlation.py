@@ -8,6 +8,7 @@ import pytest
 
 from tidemark.operators import correlation as co
 from tidemark.operators import factors as fa
+from tidemark.operators import ranking
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +29,7 @@ def prices(spark):
 @pytest.fixture(params=["one tile", "many tiles"])
 def tiles(request, monkeypatch):
     if request.param == "many tiles":
-        for name, value in (("TILE_ASSETS", 2), ("ROLLING_TILE_ASSETS", 3), ("DAYS_PER_STRETCH", 200), ("DATES_PER_BLOCK", 32)):
+        for name, value in (("TILE_ASSETS", 2), ("ROLLING_TILE_ASSETS", 3), ("DAYS_PER_STRETCH", 200), ("DATES_PER_BLOCK", 32), ("KENDALL_TILE_ASSETS", 2), ("PAIRS_AT_ONCE", 200)):
             monkeypatch.setattr(co, name, value)
 
 
@@ -53,6 +54,32 @@ def test_matrix_over_complete_rows(prices, tiles, method):
         assert got[a, b] == pytest.approx(want, abs=1e-10)
 
 
+def test_discordant_pairs_by_merging():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 7, 8, 9, 100):
+        y = rng.integers(0, max(2, n // 2), (n, 5))
+        want = [sum(y[a, c] > y[b, c] for a in range(n) for b in range(a + 1, n)) for c in range(5)]
+        assert co.discordant(y).tolist() == want
+
+
+def test_ranks_of_a_hot_group(spark):
+    """One group has most rows, one value most of them; the group fills several ranges and the ranks are pandas'."""
+    rng = np.random.default_rng(2)
+    n = 6000
+    pdf = pd.DataFrame({"g": np.where(rng.random(n) < 0.8, "hot", rng.choice(list("abc"), n)), "k": np.arange(n)})
+    pdf["v"] = np.where(rng.random(n) < 0.4, 5.0, np.round(rng.normal(5, 3, n), 2))
+    pdf.loc[0, "v"], pdf.loc[1, "v"] = -0.0, 0.0
+    df = spark.createDataFrame(pdf).repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranking.average_ranks(df, ["g"], "v", "k").toPandas().set_index("k")["rank"].sort_index()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want = pdf.set_index("k").groupby("g")["v"].rank()
+    assert (got == want).all()
+    assert ranking.average_ranks(df.limit(0), ["g"], "v", "k").collect() == []
+
+
 def test_pairwise_uses_shared_rows(prices, tiles):
     wide, df = prices
     got = {(r.symbol_1, r.symbol_2): (r.corr, r.n) for r in co.pairwise(df).collect()}

@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ratio
-from tidemark.operators.series import BLK, RN, Step, compute, lay_out, with_ordinal
+from tidemark.operators.ranking import average_ranks
+from tidemark.operators.series import BLK, RN, Step, compute, lay_out
 from tidemark.session import staged
 
 PAIR = ("symbol_1", "symbol_2")
 TILE_ASSETS = 128  # assets per tile when multiplying
 ROLLING_TILE_ASSETS = 32  # smaller: a rolling task holds one value per pair and date
+KENDALL_TILE_ASSETS = 32  # a task works on every pair of its two tiles over all dates
+PAIRS_AT_ONCE = 1 << 20  # values of a task's pairs that are sorted together
 DAYS_PER_STRETCH = 2048
 DATES_PER_BLOCK = 256
 
@@ -125,48 +128,70 @@ def pearson(df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
 
 def spearman(df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """Pearson of average ranks. Over complete rows all assets have equally many dates."""
-    rows = complete_rows(df, groups)
-    series = Window.partitionBy(*groups, "asset")
-    ties = F.count(F.lit(1)).over(Window.partitionBy(*groups, "asset", "value"))
-    rank = F.rank().over(series.orderBy("value")) + (ties - 1) / 2
-    return pairwise(rows.withColumn("value", rank.cast("double")), groups)
-
-
-def _sign_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+    rows = average_ranks(staged(complete_rows(df, groups)), [*groups, "asset"], "value", "date")
+    return pairwise(rows.withColumn("value", F.col("rank")).drop("rank"), groups)
+
+
+def discordant(y: np.ndarray) -> np.ndarray:
+    """Per column the number of pairs of rows whose later value is smaller, by merging sorted halves: n log n, all columns at once."""
+    n, p = y.shape
+    size = 1 << max(0, n - 1).bit_length()
+    y = np.concatenate([y, np.full((size - n, p), np.iinfo(y.dtype).max, y.dtype)])  # last and largest: in no such pair
+    out, width = np.zeros(p, np.int64), 1
+    while width < size:
+        y = y.reshape(size // (2 * width), 2 * width, p)
+        order = np.argsort(y, axis=1, kind="stable")  # equal values: the left half first
+        place = np.arange(2 * width).reshape(1, -1, 1)
+        right = order >= width
+        # the value at merged place m that is r-th in its half has m - r of the left half before it
+        out += np.where(right, width - (place - (order - width)), 0).sum(axis=(0, 1))
+        y = np.take_along_axis(y, order, axis=1)
+        width *= 2
+    return out
+
+
+def _ties(sorted_columns: np.ndarray) -> np.ndarray:
+    """Per column the number of pairs of equal values, from columns in order."""
+    n, p = sorted_columns.shape
+    new = np.ones((n, p), bool)
+    new[1:] = sorted_columns[1:] != sorted_columns[:-1]
+    out = np.empty(p)
+    for c in range(p):
+        sizes = np.diff(np.append(np.flatnonzero(new[:, c]), n))
+        out[c] = (sizes * (sizes - 1) // 2).sum()
+    return out
+
+
+def _tau(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Tau-b of the pairs of a tile pair, from all their complete dates."""
     wide, i, j = _sides(pdf)
-    stretch = pdf.drop_duplicates("date").set_index("date")["_part"].reindex(wide.index).to_numpy()
+    names, n = wide.columns.to_numpy(), len(wide)
     x = wide.to_numpy(dtype=float)
-    a, b = pdf["_first"].iat[0], pdf["_second"].iat[0]
-    both, untied = np.zeros((x.shape[1],) * 2), np.zeros(x.shape[1])
-    for t in np.flatnonzero(stretch == a):  # one date against the later part (or the later dates of its own)
-        s = np.sign(x[t] - (x[t + 1:] if a == b else x[stretch == b]))
-        both += s.T @ s
-        untied += (s * s).sum(axis=0)
-    names = wide.columns.to_numpy()
-    return pd.DataFrame({
-        "symbol_1": names[i], "symbol_2": names[j], "score": both[i, j], "u1": untied[i], "u2": untied[j],
-    })
-
-
-def kendall(df: DataFrame, dates_per_part: int = 512) -> DataFrame:
-    """Tau-b over complete rows: sums of sign products over pairs of dates.
-
-    A task takes two tiles of assets and two parts of the dates, so the quadratic work is spread
-    evenly and every group is bounded.
+    rank = np.stack([np.unique(c, return_inverse=True)[1] for c in x.T], axis=1).astype(np.int64)
+    pairs = n * (n - 1) / 2
+    tied = _ties(np.sort(rank, axis=0))
+    corr = np.full(len(i), np.nan)
+    for a in np.unique(i):
+        mine = np.flatnonzero(i == a)
+        for some in np.array_split(mine, max(1, -(-len(mine) * n // PAIRS_AT_ONCE))):
+            both = rank[:, [a]] * n + rank[:, j[some]]
+            order = np.argsort(both, axis=0, kind="stable")  # by the first asset, equal ones by the second
+            swaps = discordant(np.take_along_axis(rank[:, j[some]], order, axis=0))
+            joint = _ties(np.take_along_axis(both, order, axis=0))
+            score = pairs - tied[a] - tied[j[some]] + joint - 2 * swaps
+            with np.errstate(divide="ignore", invalid="ignore"):
+                corr[some] = score / np.sqrt(pairs - tied[a]) / np.sqrt(pairs - tied[j[some]])
+    return pd.DataFrame({"symbol_1": names[i], "symbol_2": names[j], "corr": corr})
+
+
+def kendall(df: DataFrame) -> DataFrame:
+    """Tau-b over complete rows, n log n per pair: order by one asset, count the swaps in the other by merging.
+
+    A task takes two tiles of assets, so a row travels once per tile. Its dates are days, which the calendar bounds.
     """
-    rows = complete_rows(df)
-    dates = rows.select("date").distinct().withColumn("_all", F.lit(1))
-    numbered = with_ordinal(dates, ("_all",), "date").select(
-        "date", F.expr(f"({RN} - 1) div {dates_per_part}").alias("_part"))
-    parts = numbered.agg((F.max("_part") + 1).alias("n"))
-    placed = rows.join(numbered, "date").withColumn("_parts", parts.scalar())
-    placed = placed.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
-    placed = placed.withColumns({"_first": F.least("_part", "_with"), "_second": F.greatest("_part", "_with")})
-    tiled = _tiled(placed.drop("_with"), TILE_ASSETS)
-    sums = tiled.groupBy("_lo", "_hi", "_first", "_second").applyInPandas(
-        _sign_sums, "symbol_1 string, symbol_2 string, score double, u1 double, u2 double")
-    total = sums.groupBy(*PAIR).agg(F.sum("score").alias("s"), F.sum("u1").alias("u1"), F.sum("u2").alias("u2"))
-    return total.select(*PAIR, ratio(F.col("s"), F.sqrt(F.col("u1")) * F.sqrt(F.col("u2"))).alias("corr"))
+    tiled = _tiled(staged(complete_rows(df)), KENDALL_TILE_ASSETS)
+    out = tiled.groupBy("_lo", "_hi").applyInPandas(_tau, "symbol_1 string, symbol_2 string, corr double")
+    return out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
 
 
 METHODS = {"pearson": pearson, "spearman": spearman, "kendall": kendall}

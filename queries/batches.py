@@ -91,6 +91,35 @@ def correlation_batch(spark, d):
     return parts
 
 
+FIRST, LAST = "1994-01-01", "1997-12-31"
+RANGE = f"""{a.PRICES_LONG}, rg as (select asset_class, symbol, date, value from prices where date between date '{FIRST}' and date '{LAST}'),
+rows_ as (select 'intra_class' as analysis, asset_class as block, asset_class as cl, symbol, date, value from rg
+  union all select 'cross_class_matrix', x || '_' || y, asset_class, symbol, date, value from rg join (values {", ".join(f"('{x}', '{y}')" for x, y in CLASS_PAIRS)}) v(x, y) on asset_class in (x, y)
+  union all select 'matrix', '', '', symbol, date, value from rg),
+un as (select analysis, block, count(distinct symbol) as k from rows_ group by 1, 2),
+ok as (select analysis, block, date from (select analysis, block, date, count(*) as c from rows_ group by 1, 2, 3) join un using (analysis, block) where c = k),
+cm as (select rows_.* from rows_ join ok using (analysis, block, date))"""
+
+
+@query("correlation_batch_matrices", f"""with {RANGE}, m as (select x.analysis, x.block, x.symbol as symbol_1, y.symbol as symbol_2, corr(x.value, y.value) as c, count(*) as n from cm x join cm y
+  on x.analysis = y.analysis and x.block = y.block and x.date = y.date and x.symbol < y.symbol and (x.analysis <> 'cross_class_matrix' or x.cl <> y.cl) group by all)
+select analysis, block, symbol_1, symbol_2, round(c, 6) as corr from m where analysis <> 'cross_class_matrix' or n > 10""")
+def correlation_batch_matrices(spark, d):
+    """The matrices of the batch over a date range: inside the classes, between them, and over all assets."""
+    out = ba.correlation_batch(assets(spark, d), CLASS_PAIRS, threshold=0.15, first=FIRST, last=LAST)
+    parts = [out["intra_class"].withColumn("block", F.col("asset_class")), out["cross_class_matrix"], out["matrix"].withColumn("block", F.lit(""))]
+    named = [df.select(F.lit(n).alias("analysis"), "block", "symbol_1", "symbol_2", F.round("corr", 6).alias("corr")) for n, df in zip(("intra_class", "cross_class_matrix", "matrix"), parts)]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
+@query("correlation_batch_done", """select unnest(['intra_class', 'intra_class_statistics', 'cross_class_matrix', 'cross_class', 'matrix', 'statistics', 'by_period', 'clusters', 'within_clusters', 'components']) as analysis""")
+def correlation_batch_done(spark, d):
+    """The analyses for which three months of weeks are enough: no regimes, no rolling windows."""
+    last = assets(spark, d).agg(F.max("date").alias("m")).first().m
+    out = ba.correlation_batch(assets(spark, d), CLASS_PAIRS, first=str(last.replace(year=last.year - 1)))
+    return spark.createDataFrame([(n,) for n in out], "analysis string")
+
+
 def long_rows(name, df, **columns):
     """``analysis, symbol, key, text, value`` of the named columns (key -> digits, or None for text)."""
     cells = [F.struct(F.lit(c).alias("key"), (F.lit(None).cast("string") if digits is not None else F.col(c).cast("string")).alias("text"),

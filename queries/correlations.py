@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from queries import adapters as a
+from tidemark.operators import align as al
 from tidemark.operators import correlation as co
 from tidemark.operators import factors as fa
 from tidemark.session import staged
@@ -39,22 +40,26 @@ STOCKS, COINS, INDICES = ("AF", "AO", "NF", "NO", "RF", "RO"), ("1-URGENT", "2-H
 
 @query("align_outer", f"with {a.PRICES_LONG} select date, " + ", ".join(f"max(value) filter (symbol = '{s}') as \"{s}\"" for s in STOCKS) + " from prices where asset_class = 'stock' group by date")
 def align_outer(spark, d):
-    rows = a.prices_long(spark, d).where("asset_class = 'stock'")
-    return rows.groupBy("date").pivot("symbol", list(STOCKS)).agg(F.first("value"))
+    return al.align_outer(assets(spark, d), STOCKS, ["stock"])
 
 
 @query("align_cross_class", f"""with {a.PRICES_LONG} select x.date, x.symbol as stock, y.symbol as coin, x.value as stock_value, y.value as coin_value
 from prices x join prices y on x.date = y.date where x.asset_class = 'stock' and y.asset_class = 'crypto'""")
 def align_cross_class(spark, d):
-    p = staged(a.prices_long(spark, d))
-    left = p.where("asset_class = 'stock'").select("date", F.col("symbol").alias("stock"), F.col("value").alias("stock_value"))
-    right = p.where("asset_class = 'crypto'").select("date", F.col("symbol").alias("coin"), F.col("value").alias("coin_value"))
-    return left.join(right, "date")
+    both = al.align_classes(assets(spark, d), "stock", "crypto")
+    return both.withColumnsRenamed({"left": "stock", "right": "coin", "left_value": "stock_value", "right_value": "coin_value"})
 
 
 @query("align_all_classes", f"with {a.PRICES_LONG} select date, " + ", ".join(f"max(value) filter (symbol = '{s}') as \"{s}\"" for s in (*STOCKS, *COINS, *INDICES)) + " from prices group by date")
 def align_all_classes(spark, d):
-    return a.prices_long(spark, d).groupBy("date").pivot("symbol", [*STOCKS, *COINS, *INDICES]).agg(F.first("value"))
+    return al.align_outer(assets(spark, d), [*STOCKS, *COINS, *INDICES])
+
+
+@query("align_range", f"""with {a.PRICES_LONG}, r as (select * from prices where date between date '1996-01-01' and date '1997-06-30')
+select asset_class, symbol as asset, date, value from r where symbol in (select symbol from r group by 1 having count(*) >= 60)""")
+def align_range(spark, d):
+    """A date range, and only the assets with enough rows in it."""
+    return al.enough_rows(al.in_range(assets(spark, d), "1996-01-01", "1997-06-30"), 60)
 
 
 @query("corr_pearson", f"with {PAIRS} select symbol_1, symbol_2, round(corr(v1, v2), 6) as corr, count(*) as n from pv group by 1, 2")
@@ -189,7 +194,18 @@ def corr_top_volatile_pairs(spark, d):
     return co.top_pair_series(assets(spark, d), 30, 5).select("symbol_1", "symbol_2", "date", F.round("corr", 6).alias("corr"))
 
 
-@query("corr_clusters")
+MATRIX = f"""{PAIRS}, mx as (select symbol_1, symbol_2, corr(v1, v2) as c from pv group by 1, 2)"""
+
+#: One merge per round, the closest pair of clusters by mean distance; a cluster goes by its smallest member.
+LINKAGE = f"""{MATRIX}, ds as materialized (select symbol_1 as s, symbol_2 as t, 1 - abs(c) as d from mx union all select symbol_2, symbol_1, 1 - abs(c) from mx),
+cl(k, s, c) as (select (select count(distinct s) from ds), s, s from (select distinct s from ds) union all
+  select k - 1, s, case when c = q then p else c end from cl, (select arg_min(p, m) as p, arg_min(q, m) as q from (
+    select x.c as p, y.c as q, avg(d) as m from cl x join cl y on x.c < y.c join ds on ds.s = x.s and ds.t = y.s group by 1, 2)) where k > 3)"""
+
+
+@query("corr_clusters", f"""with recursive {LINKAGE}, f as (select s as symbol, c from cl where k = 3), g as (select c, row_number() over (order by c) - 1 as cluster, count(*) as members from f group by c),
+i as (select x.c, avg(mx.c) as m from mx join f x on x.symbol = symbol_1 join f y on y.symbol = symbol_2 and y.c = x.c group by 1)
+select symbol, cluster::int as cluster, members, round(coalesce(m, 1.0), 6) as intra_correlation from f join g using (c) left join i using (c)""")
 def corr_clusters(spark, d):
     m = staged(co.pearson(assets(spark, d)))
     labels = staged(fa.average_linkage(m, 3))
@@ -197,13 +213,32 @@ def corr_clusters(spark, d):
         "symbol", "cluster", "members", F.round("intra_correlation", 6).alias("intra_correlation"))
 
 
-@query("pca_factors")
+def dominant_sql(matrix: str, out: str) -> str:
+    """Leading eigenvector and value of a matrix (rows i, list x): the matrix is squared again and again, its columns then all point along it."""
+    return f"""{out}_p(k, m) as (select 0, list(x order by i) from {matrix} union all
+  select k + 1, list_transform(n, lambda r: list_transform(r, lambda y: y / t)) from (select k, n, sqrt(list_sum(list_transform(n, lambda r: list_sum(list_transform(r, lambda y: y * y))))) as t
+    from (select k, list_transform(m, lambda r: list_transform(m, lambda s: list_sum(list_transform(list_zip(r, s), lambda z: z[1] * z[2])))) as n from {out}_p where k < 40))),
+{out}_c as (select list_transform(m, lambda r: r[j]) as v from (select m, list_position(g, list_max(g)) as j from (select m, list_transform(range(1, len(m) + 1), lambda i: m[i][i]) as g from {out}_p where k = 40))),
+{out}_v as (select list_transform(v, lambda y: y / sqrt(list_sum(list_transform(v, lambda z: z * z)))) as v from {out}_c),
+{out}_l as (select v, list_sum(list_transform(list_zip(v, (select list(list_sum(list_transform(list_zip(x, v), lambda z: z[1] * z[2])) order by i) from {matrix})), lambda z: z[1] * z[2])) as l from {out}_v)"""
+
+
+SQUARE = f"""{MATRIX}, names as (select symbol, row_number() over (order by symbol) as i from (select symbol_1 as symbol from mx union select symbol_2 from mx)),
+cells as (select s.i, t.i as j, coalesce(c, 1.0) as x from names s cross join names t left join mx on (symbol_1 = s.symbol and symbol_2 = t.symbol) or (symbol_1 = t.symbol and symbol_2 = s.symbol)),
+ma as materialized (select i, list(x order by j) as x from cells group by i), {dominant_sql("ma", "one")},
+mb as materialized (select ma.i, list_transform(list_zip(x, v), lambda z: z[1] - l * v[ma.i] * z[2]) as x from ma, one_l), {dominant_sql("mb", "two")}"""
+
+
+@query("pca_factors", f"""with recursive {SQUARE} select 'PC1' as component, round(l / (select count(*) from names), 6) as explained_ratio, (select count(*) from names) as assets from one_l
+union all select 'PC2', round(l / (select count(*) from names), 6), (select count(*) from names) from two_l""")
 def pca_factors(spark, d):
     out = fa.principal_components(assets(spark, d), 2)
     return out.groupBy("component").agg(F.round(F.first("explained_ratio"), 6).alias("explained_ratio"), F.count(F.lit(1)).alias("assets"))
 
 
-@query("pca_contributions")
+@query("pca_contributions", f"""with recursive {SQUARE}, e as (select 'PC1' as component, v from one_l union all select 'PC2', v from two_l),
+u as (select component, symbol, v[i] * case when v[list_position(list_transform(v, lambda z: round(abs(z), 12)), list_max(list_transform(v, lambda z: round(abs(z), 12))))] < 0 then -1 else 1 end as x from e, names)
+select component, symbol, round(x, 5) as loading, round(abs(x), 5) as contribution, (row_number() over (partition by component order by round(abs(x), 12) desc, symbol))::int as rank from u""")
 def pca_contributions(spark, d):
     out = fa.principal_components(assets(spark, d), 2)
-    return out.select("component", "symbol", F.round("loading", 6).alias("loading"), F.round("contribution", 6).alias("contribution"), "rank")
+    return out.select("component", "symbol", F.round("loading", 5).alias("loading"), F.round("contribution", 5).alias("contribution"), "rank")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from queries import adapters as a
+from tidemark.operators import align as al
 from tidemark.operators import quality as qu
 from tidemark.sources import html, payloads
 
@@ -245,4 +246,4 @@ def history_gate(spark, d):
 @query("top_assets", """select symbol, market_cap from (select o_custkey as symbol, round(sum(o_totalprice), 2) as market_cap from orders group by 1) order by market_cap desc, symbol limit 100""")
 def top_assets(spark, d):
     caps = a.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("symbol")).agg(F.round(F.sum("o_totalprice"), 2).alias("market_cap"))
-    return caps.orderBy(F.desc("market_cap"), "symbol").limit(100)
+    return al.top_assets(caps, 100)

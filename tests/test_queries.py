@@ -11,7 +11,8 @@ from tidemark.session import SETTINGS
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SOME = ("sma", "macd", "adx", "clean_stock", "dominance_asof", "corr_by_period", "calendar_seasonality", "financial_ratios", "upsert_prices", "explode_chart")
+SOME = ("sma", "macd", "adx", "clean_stock", "dominance_asof", "corr_by_period", "calendar_seasonality", "financial_ratios", "upsert_prices", "explode_chart",
+        "load_after_failure", "stock_directory_summary", "company_directory", "decompose_auto", "turning_points_by_length", "corr_clusters", "corr_kendall")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 

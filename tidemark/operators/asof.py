@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.cleaning import _neighbours
 from tidemark.operators.series import lay_out
+from tidemark.session import staged
 
 
 def nearest_by_date(df: DataFrame, known: DataFrame, value: str, order: str = "date", block_rows: int | None = None) -> DataFrame:
@@ -16,7 +17,8 @@ def nearest_by_date(df: DataFrame, known: DataFrame, value: str, order: str = "d
     joined back by date. ``known`` holds one row per date.
     """
     dates = df.select(order).distinct().join(known.select(order, value), order, "full")
-    dates = dates.withColumn("_all", F.lit(1)).withColumn("_day", F.when(F.col(value).isNotNull(), F.col(order)))
+    # written once: numbering, blocks and carries read it again and again
+    dates = staged(dates.withColumn("_all", F.lit(1)).withColumn("_day", F.when(F.col(value).isNotNull(), F.col(order))))
     s = lay_out(dates, keys=("_all",), order=order, block_rows=block_rows)
     s, near = _neighbours(s, ["_day", value])
     (day_before, day_after), (before, after) = near["_day"], near[value]

@@ -162,7 +162,7 @@ def _ties(sorted_columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _tau(pdf: pd.DataFrame) -> pd.DataFrame:
+def _tau(pdf: pd.DataFrame, groups: Sequence[str] = ()) -> pd.DataFrame:
     """Tau-b of the pairs of a tile pair, from all their complete dates."""
     wide, i, j = _sides(pdf)
     names, n = wide.columns.to_numpy(), len(wide)
@@ -181,16 +181,18 @@ def _tau(pdf: pd.DataFrame) -> pd.DataFrame:
             score = pairs - tied[a] - tied[j[some]] + joint - 2 * swaps
             with np.errstate(divide="ignore", invalid="ignore"):
                 corr[some] = score / np.sqrt(pairs - tied[a]) / np.sqrt(pairs - tied[j[some]])
-    return pd.DataFrame({"symbol_1": names[i], "symbol_2": names[j], "corr": corr})
+    return pd.DataFrame({g: [pdf[g].iat[0]] * len(i) for g in groups} | {"symbol_1": names[i], "symbol_2": names[j], "corr": corr, "n": n})
 
 
-def kendall(df: DataFrame) -> DataFrame:
+def kendall(df: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """Tau-b over complete rows, n log n per pair: order by one asset, count the swaps in the other by merging.
 
     A task takes two tiles of assets, so a row travels once per tile. Its dates are days, which the calendar bounds.
     """
-    tiled = _tiled(staged(complete_rows(df)), KENDALL_TILE_ASSETS)
-    out = tiled.groupBy("_lo", "_hi").applyInPandas(_tau, "symbol_1 string, symbol_2 string, corr double")
+    groups = list(groups)
+    tiled = _tiled(staged(complete_rows(df, groups)), KENDALL_TILE_ASSETS)
+    schema = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in df.schema if f.name in groups) + "symbol_1 string, symbol_2 string, corr double, n long"
+    out = tiled.groupBy(*groups, "_lo", "_hi").applyInPandas(lambda pdf: _tau(pdf, groups), schema)
     return out.withColumn("corr", F.when(~F.isnan("corr"), F.col("corr")))
 
 
@@ -211,8 +213,8 @@ def matrix_statistics(matrix: DataFrame, groups: Sequence[str] = ()) -> DataFram
     )
 
 
-def by_period(df: DataFrame, periods: Sequence[tuple[str, Column, Column]], min_rows: int = 5) -> DataFrame:
-    """Correlation per named period, bounds inclusive, over the rows each pair shares.
+def by_period(df: DataFrame, periods: Sequence[tuple[str, Column, Column]], min_rows: int = 5, method: str = "pearson") -> DataFrame:
+    """Correlation per named period, bounds inclusive: Pearson over the rows each pair shares, ranked methods over the period's complete rows.
 
     ``periods`` holds (name, first day, last day); a period with fewer dates than ``min_rows`` is left out.
     """
@@ -220,7 +222,8 @@ def by_period(df: DataFrame, periods: Sequence[tuple[str, Column, Column]], min_
     rows = df.withColumn("period", F.explode(F.array_compact(F.array(*names))))
     enough = rows.select("period", "date").distinct().groupBy("period").agg(F.count(F.lit(1)).alias("_n")).where(
         F.col("_n") >= min_rows)
-    return pairwise(rows.join(enough, "period", "left_semi"), ["period"])
+    rows = rows.join(enough, "period", "left_semi")
+    return pairwise(rows, ["period"]) if method == "pearson" else METHODS[method](rows, ["period"])
 
 
 def halves(df: DataFrame) -> list[tuple[str, Column, Column]]:
@@ -231,9 +234,9 @@ def halves(df: DataFrame) -> list[tuple[str, Column, Column]]:
     return [("first_half", first, middle), ("second_half", middle, last)]
 
 
-def period_change(df: DataFrame) -> DataFrame:
+def period_change(df: DataFrame, method: str = "pearson") -> DataFrame:
     """Correlation of each pair in both halves and its change."""
-    both = by_period(df, halves(df)).groupBy(*PAIR).pivot("period", ["first_half", "second_half"]).agg(F.first("corr"))
+    both = by_period(df, halves(df), method=method).groupBy(*PAIR).pivot("period", ["first_half", "second_half"]).agg(F.first("corr"))
     return both.withColumn("change", F.col("second_half") - F.col("first_half"))
 
 

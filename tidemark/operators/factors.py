@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, StandardScaler
-from pyspark.ml.functions import array_to_vector
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.correlation import complete_rows
+from tidemark.operators.correlation import complete_rows, pairwise
 from tidemark.session import staged
 
 
@@ -73,28 +72,79 @@ def within_clusters(matrix: DataFrame, labels: DataFrame, groups: Sequence[str]
         *g, "cluster", "members", F.coalesce("_mean", F.lit(1.0)).alias("intra_correlation"))
 
 
-def principal_components(df: DataFrame, components: int = 2) -> DataFrame:
+#: Most rounds of the power iteration.
+ROUNDS = 300
+#: Further vectors carried along: the wanted ones settle by the ratio of theirs to the next variance beyond all of these.
+EXTRA = 24
+
+
+def _orthonormal(vectors: DataFrame, k: int) -> DataFrame:
+    """Orthonormal basis of the span of ``k`` vectors (rows: symbol, v array), by the inverse Cholesky factor of their products.
+
+    Only the k × k products meet in one place.
+    """
+    terms = F.array(*[F.col("v")[i] * F.col("v")[j] for i in range(k) for j in range(k)])
+    parts = vectors.select(F.posexplode(terms).alias("p", "x")).groupBy("p").agg(F.sum("x").alias("x"))
+    gram = np.zeros(k * k)
+    for r in parts.collect():  # k squared numbers
+        gram[r.p] = r.x
+    gram = gram.reshape(k, k)
+    scale = np.sqrt(np.maximum(np.diag(gram), 1e-300))
+    factor = np.linalg.inv(np.linalg.cholesky(gram / np.outer(scale, scale) + 1e-15 * np.eye(k))) / scale
+    return vectors.withColumn("v", F.array(*[sum((F.col("v")[i] * float(factor[c, i]) for i in range(c + 1)), F.lit(0.0)) for c in range(k)]))
+
+
+def principal_components(df: DataFrame, components: int = 2, min_rows: int = 10, rounds: int = ROUNDS, tolerance: float = 1e-13) -> DataFrame:
     """Loadings of the leading components of the standardised complete rows.
 
     ``(component, symbol, loading, contribution, rank, explained_ratio)``; the sign makes each
-    component's largest loading positive.
+    component's largest loading positive. Fewer than ``min_rows`` complete rows give nothing.
+
+    Block power iteration on the correlation matrix, whose entries stay rows: a round multiplies the matrix with a few
+    vectors (a join on the symbol and a sum) and makes them orthonormal again, until the variances they explain
+    stand still. The driver sees the products of these few vectors with each other, never a column of the matrix.
     """
-    spark = df.sparkSession
-    rows = complete_rows(df).groupBy("date").agg(
-        F.array_sort(F.collect_list(F.struct("asset", "value"))).alias("_r"))  # one entry per asset
-    rows = staged(rows.select("date", F.col("_r.asset").alias("names"), F.col("_r.value").alias("xs")))
-    vectors = rows.select("names", array_to_vector("xs").alias("x"))
-    scaled = StandardScaler(inputCol="x", outputCol="z", withMean=True, withStd=True).fit(vectors).transform(vectors)
-    model = PCA(k=components, inputCol="z", outputCol="pc").fit(scaled)
-    names = rows.orderBy("date").limit(1).select(F.posexplode("names").alias("pos", "symbol"))
-    table = model.pc.toArray()
-    loads = spark.createDataFrame(
-        [(i, c, float(table[i, c]), float(model.explainedVariance[c])) for i in range(table.shape[0]) for c in range(components)],
-        "pos int, _c int, loading double, explained_ratio double")
-    whole = Window.partitionBy("_c")
-    size = F.round(F.abs("loading"), 12)
-    strongest = F.max_by("loading", F.struct(size, -F.col("pos"))).over(whole)
-    signed = loads.withColumn("loading", F.col("loading") * F.when(strongest < 0, -1).otherwise(1))
-    return signed.join(names, "pos").select(
+    rows = staged(complete_rows(df))
+    if rows.select("date").distinct().count() < min_rows:
+        return df.sparkSession.createDataFrame([], "component string, symbol string, loading double, contribution double, rank int, explained_ratio double")
+    matrix = pairwise(rows).select("symbol_1", "symbol_2", F.coalesce("corr", F.lit(0.0)).alias("x"))
+    spread = rows.groupBy("asset").agg(F.stddev_samp("value").alias("s"))
+    every = staged(spread.select(F.col("asset").alias("symbol"), (F.col("s") > 0).alias("moves")))
+    size = every.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("moves").cast("int")).alias("m")).first()
+    own = every.select(F.col("symbol").alias("symbol_1"), F.col("symbol").alias("symbol_2"), F.col("moves").cast("double").alias("x"))
+    matrix = staged(matrix.unionByName(matrix.select(F.col("symbol_2").alias("symbol_1"), F.col("symbol_1").alias("symbol_2"), "x")).unionByName(own))
+    k = min(size.n, components + EXTRA)
+    noise = lambda c: F.xxhash64("symbol", F.lit(c)) / F.lit(float(2 ** 63))
+    vectors = staged(_orthonormal(staged(every.select("symbol", F.array(*[noise(c) for c in range(k)]).alias("v"))), k))
+    before = None
+    for _ in range(rounds):
+        product = matrix.join(vectors.withColumnRenamed("symbol", "symbol_2"), "symbol_2").groupBy(F.col("symbol_1").alias("symbol")).agg(
+            *[F.sum(F.col("x") * F.col("v")[c]).alias(f"_{c}") for c in range(k)])
+        both = staged(product.join(vectors, "symbol").select("symbol", "v", F.array(*[f"_{c}" for c in range(k)]).alias("w")))
+        rayleigh, turn = _rotation(both, k)
+        value = lambda name, c: sum((F.col(name)[i] * float(turn[i, c]) for i in range(k)), F.lit(0.0))  # noqa: E731,B023
+        if before is not None and np.max(np.abs(rayleigh[:components] - before[:components])) < tolerance * size.n:
+            vectors = staged(both.select("symbol", F.array(*[value("v", c) for c in range(k)]).alias("v")))
+            break
+        before = rayleigh
+        vectors = staged(_orthonormal(staged(both.select("symbol", F.array(*[value("w", c) for c in range(k)]).alias("v"))), k))
+    shown = vectors.select("symbol", F.posexplode(F.slice("v", 1, components)).alias("_c", "loading"))
+    ratios = F.array(*[F.lit(float(x) / size.m) for x in rayleigh[:components]])
+    whole = Window.partitionBy("_c")  # one row per asset
+    strength = F.round(F.abs("loading"), 12)
+    strongest = shown.groupBy("_c").agg(F.max_by("loading", F.struct(strength, F.lit(0))).alias("_m"))
+    signed = shown.join(strongest, "_c").withColumn("loading", F.col("loading") * F.when(F.col("_m") < 0, -1).otherwise(1))
+    return signed.select(
         F.concat(F.lit("PC"), F.col("_c") + 1).alias("component"), "symbol", "loading", F.abs("loading").alias("contribution"),
-        F.row_number().over(whole.orderBy(F.desc(size), "symbol")).alias("rank"), "explained_ratio")
+        F.row_number().over(whole.orderBy(F.desc(strength), "symbol")).alias("rank"), F.element_at(ratios, F.col("_c") + 1).alias("explained_ratio"))
+
+
+def _rotation(both: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues, largest first, and eigenvectors of the matrix inside the span of the vectors (rows: v and w = matrix · v)."""
+    terms = F.array(*[F.col("v")[i] * F.col("w")[j] for i in range(k) for j in range(k)])
+    inner = np.zeros(k * k)
+    for r in both.select(F.posexplode(terms).alias("p", "x")).groupBy("p").agg(F.sum("x").alias("x")).collect():  # k squared numbers
+        inner[r.p] = r.x
+    inner = inner.reshape(k, k)
+    values, turn = np.linalg.eigh((inner + inner.T) / 2)
+    return values[::-1], turn[:, ::-1]

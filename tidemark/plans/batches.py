@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import align as al
 from tidemark.operators import cleaning as cl
 from tidemark.operators import company as co
 from tidemark.operators import correlation as cr
@@ -144,19 +145,37 @@ def company_batch(income: DataFrame, balance: DataFrame, ratio_documents: DataFr
 # -- correlation ---------------------------------------------------------------------------------
 
 
-def correlation_batch(prices: DataFrame, class_pairs: Sequence[tuple[str, str]], window: int = 30, threshold: float = 0.3,
-                      clusters: int = 3, components: int = 2) -> dict[str, DataFrame]:
-    """Every analysis of the long price table ``(asset_class, asset, date, value)``, which is written once."""
-    p = staged(prices)
-    matrix = staged(cr.pearson(p))
-    labels = staged(fa.average_linkage(matrix, clusters))
-    return {
-        "matrix": matrix, "statistics": cr.matrix_statistics(matrix),
-        "cross_class": cr.matrix_statistics(cr.cross_class(p, class_pairs), ["block"]),
-        "by_period": cr.period_change(p), "rolling_statistics": cr.rolling_statistics(p, window),
-        "volatile_pairs": cr.top_pair_series(p, window), "regime_changes": cr.regime_changes(p, window, threshold),
-        "clusters": labels, "within_clusters": fa.within_clusters(matrix, labels), "components": fa.principal_components(p, components),
+#: Assets and dates that an analysis of the correlation batch needs at least, its clusters and components.
+CLUSTERS, COMPONENTS, CLUSTER_ASSETS, REGIME_DATES, ROLLING_DATES, CLASS_ASSETS = 5, 3, 3, 60, 90, 2
+
+
+def correlation_batch(prices: DataFrame, class_pairs: Sequence[tuple[str, str]], window: int = 30, threshold: float = 0.3, first: str | None = None,
+                      last: str | None = None, method: str = "pearson") -> dict[str, DataFrame]:
+    """Every analysis of the long price table ``(asset_class, asset, date, value)`` within a date range; the table is written once.
+
+    Assets with fewer than five rows in the range are left out, and so are the analyses for which there are too few
+    assets or dates; the result holds those that were done.
+    """
+    p = staged(al.enough_rows(al.in_range(prices, first, last)))
+    size = p.agg(F.count_distinct("asset").alias("assets"), F.count_distinct("date").alias("dates")).first()
+    classes = p.groupBy("asset_class").agg(F.count_distinct("asset").alias("n")).where(F.col("n") >= CLASS_ASSETS).select("asset_class")
+    inside = staged(cr.METHODS[method](p.join(classes, "asset_class", "left_semi"), ["asset_class"]))
+    across = staged(cr.cross_class(p, class_pairs))
+    matrix = staged(cr.METHODS[method](p))
+    out = {
+        "intra_class": inside, "intra_class_statistics": cr.matrix_statistics(inside, ["asset_class"]),
+        "cross_class_matrix": across, "cross_class": cr.matrix_statistics(across, ["block"]),
+        "matrix": matrix, "statistics": cr.matrix_statistics(matrix), "by_period": cr.period_change(p, method),
     }
+    if size.assets >= CLUSTER_ASSETS:
+        labels = staged(fa.average_linkage(matrix, min(CLUSTERS, size.assets)))
+        out |= {"clusters": labels, "within_clusters": fa.within_clusters(matrix, labels)}
+        out["components"] = fa.principal_components(p, min(COMPONENTS, size.assets))
+    if size.dates > REGIME_DATES:
+        out["regime_changes"] = cr.regime_changes(p, window, threshold)
+    if size.dates > ROLLING_DATES:
+        out |= {"rolling_statistics": cr.rolling_statistics(p, window), "volatile_pairs": cr.top_pair_series(p, window)}
+    return out
 
 
 # -- trend ---------------------------------------------------------------------------------------

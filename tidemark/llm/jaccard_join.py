@@ -48,12 +48,15 @@ MARKS = 1 << 22
 
 def _cells(h: np.ndarray) -> np.ndarray:
     """The cell of each hash in each sketch, as one numbering."""
-    return np.concatenate([(h >> np.uint64(7 + 20 * k)) % np.uint64(CELLS) + np.uint64(k * CELLS) for k in range(SKETCHES)]).astype(np.int64)
+    out = np.empty(SKETCHES * len(h), np.int64)
+    for k in range(SKETCHES):
+        out[k * len(h):(k + 1) * len(h)] = ((h >> np.uint64(7 + 20 * k)) & np.uint64(CELLS - 1)) + np.uint64(k * CELLS)
+    return out
 
 
-def _signature(tokens: np.ndarray) -> int:
-    """One 64-bit number for a whole set."""
-    scattered = mix(tokens)
+def _signature(tokens: np.ndarray, scattered: np.ndarray | None = None) -> int:
+    """One 64-bit number for a whole set, from its tokens' hashes and these mixed again (if already at hand)."""
+    scattered = mix(tokens) if scattered is None else scattered
     both = np.array([scattered.sum(dtype=np.uint64), np.bitwise_xor.reduce(scattered, initial=0)], np.uint64)
     return int(mix(mix(both[:1] + np.uint64(len(tokens))) + both[1:]).astype(np.int64)[0])
 
@@ -63,15 +66,20 @@ def scan(docs: DataFrame, text: str, key: str, size: int) -> DataFrame:
     def read(batches):
         counts = np.zeros(CELLS * SKETCHES, np.int64)
         for batch in batches:
-            sig, n, slots = [], [], []
+            sig, n, slots, cells, waiting = [], [], [], [], 0
             for t in batch.column(1).to_pylist():
                 tokens = shingle_set(t, size)
-                counts += np.bincount(_cells(tokens), minlength=len(counts)) if len(tokens) > 20_000 else 0
-                if len(tokens) <= 20_000:
-                    np.add.at(counts, _cells(tokens), 1)
-                sig.append(_signature(tokens))
+                scattered = mix(tokens)
+                cells.append(_cells(tokens))
+                waiting += len(tokens)
+                if waiting > 1 << 20:  # counted together, since every count passes over all cells
+                    counts += np.bincount(np.concatenate(cells), minlength=len(counts))
+                    cells, waiting = [], 0
+                sig.append(_signature(tokens, scattered))
                 n.append(len(tokens))
-                slots.append(np.minimum(np.bincount((mix(tokens) % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS), 255).astype(np.uint8).tobytes())
+                slots.append(np.minimum(np.bincount((scattered & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS), 255).astype(np.uint8).tobytes())
+            if waiting:
+                counts += np.bincount(np.concatenate(cells), minlength=len(counts))
             none = pa.nulls(len(n), pa.int64())
             yield pa.record_batch([batch.column(0), pa.array(sig, pa.int64()), pa.array(n, pa.int64()), pa.array(slots, pa.binary()), none, none], names=names)
         for at in range(0, len(counts), CELLS // 4):
@@ -102,7 +110,8 @@ def prefixes(docs: DataFrame, text: str, counts, size: int, percent: int) -> Dat
             out = []
             for t in batch.column(0).to_pylist():
                 tokens = shingle_set(t, size)
-                n, sig = len(tokens), _signature(tokens)
+                first = mix(tokens)
+                n, sig = len(tokens), _signature(tokens, first)
                 if not n or sig in seen:
                     continue
                 if len(seen) > 2_000_000:
@@ -113,7 +122,7 @@ def prefixes(docs: DataFrame, text: str, counts, size: int, percent: int) -> Dat
                 both = sketch[_cells(tokens)].reshape(SKETCHES, n).astype(np.uint64)
                 for order in range(ORDERS):
                     rare = both[order] if order < SKETCHES else both.min(0)
-                    scattered = mix(tokens + np.uint64(order))
+                    scattered = mix(tokens + np.uint64(order)) if order else first
                     keys = (rare << np.uint64(32)) | (scattered >> np.uint64(32))
                     ranked = np.partition(keys, (short - 1, long - 1))
                     chosen = np.flatnonzero(keys <= ranked[long - 1])

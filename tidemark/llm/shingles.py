@@ -39,11 +39,12 @@ def word_hashes(raw: bytes) -> np.ndarray:
     data = np.frombuffer(raw, np.uint8)
     if not len(data):
         return np.empty(0, np.uint64)
-    gap = _SPACE[data]
-    inside = ~gap
-    starts = np.flatnonzero(inside & np.concatenate([[True], gap[:-1]]))
-    ends = np.flatnonzero(inside & np.concatenate([gap[1:], [True]])) + 1
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_VALUE[data] * powers(_BASE, len(data)), dtype=np.uint64)])
+    gap = np.ones(len(data) + 2, bool)
+    np.take(_SPACE, data, out=gap[1:-1])
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * powers(_BASE, len(data)), out=sums[1:])
     return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(data))[starts] + (ends - starts).astype(np.uint64))
 
 
@@ -53,7 +54,7 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     n = min(size, len(words))
     if not n:
         return words
-    total = np.zeros(len(words) - n + 1, np.uint64)
-    for k in range(n):
+    total = words[:len(words) - n + 1]
+    for k in range(1, n):
         total = total * np.uint64(0xC2B2AE3D27D4EB4F) + words[k:len(words) - n + 1 + k]
     return np.unique(mix(total + np.uint64(n)))

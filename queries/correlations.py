@@ -148,6 +148,15 @@ def corr_rolling_spearman(spark, d):
     return co.rolling(assets(spark, d), 30, "spearman").select("symbol_1", "symbol_2", "date", F.round("corr", 6).alias("corr"))
 
 
+@query("corr_rolling_kendall", f"""with {PAIRS}, l as (select symbol_1, symbol_2, date, list(v1) over w as a, list(v2) over w as b, count(*) over w as k from pv
+  window w as (partition by symbol_1, symbol_2 order by date rows 29 preceding)),
+ij as (select i, j from range(1, 31) x(i), range(1, 31) y(j) where i < j),
+s as (select symbol_1, symbol_2, date, sign(a[i] - a[j]) as x, sign(b[i] - b[j]) as y from l, ij where k = 30)
+select symbol_1, symbol_2, date, round(sum(x * y) / (sqrt(sum(x * x)) * sqrt(sum(y * y))), 6) as corr from s group by 1, 2, 3""")
+def corr_rolling_kendall(spark, d):
+    return co.rolling(assets(spark, d), 30, "kendall").select("symbol_1", "symbol_2", "date", F.round("corr", 6).alias("corr"))
+
+
 @query("corr_rolling_stats", f"""with {PAIRS}, {ROLL} select symbol_1, symbol_2, round(avg(c), 6) as avg_correlation, round(stddev_pop(c), 6) as correlation_volatility,
 round(max(c) - min(c), 6) as correlation_change from rl where k >= 30 group by 1, 2""")
 def corr_rolling_stats(spark, d):

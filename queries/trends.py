@@ -255,6 +255,19 @@ def calendar_seasonality(spark, d):
     return rnd(out, 6, "spread", "significance", keep=("symbol", "calendar", "best", "worst"))
 
 
+@query("seasonality_flags", f"""with recursive {BARS_REC}, {RET_ACF}, {peaks_sql('acf', 'symbol', 'lag', 'c', 0.03, 5)}, {CAL.replace('r as (', 'cr as (', 1).replace('from r where', 'from cr where')},
+sg as (select symbol, lag as period, abs(c) / (1.96 / sqrt(n)) as sig from peaks join (select symbol, max(n) as n from acf group by 1) using (symbol)),
+per as (select symbol, count(*) as n_periods, arg_min(period, k) as strongest_period from (select *, row_number() over (partition by symbol order by sig desc, period) as k from sg where sig > 1) group by 1),
+spr as (select symbol, calendar, max(mean_return) - min(mean_return) as spread from cm group by 1, 2),
+pat as (select symbol, bool_or(calendar = 'weekday' and spread > 0.001) as w, bool_or(calendar = 'month' and spread > 0.01) as m, bool_or(calendar = 'quarter' and spread > 0.01) as t from spr group by 1),
+every as (select symbol from b group by 1 having count(*) >= 30)
+select symbol, n_periods is not null as has_significant_seasonality, coalesce(n_periods, 0) as n_periods, strongest_period, coalesce(w, false) as weekday_pattern,
+  coalesce(m, false) as month_pattern, coalesce(t, false) as quarter_pattern from every left join per using (symbol) left join pat using (symbol)""")
+def seasonality_flags(spark, d):
+    rows = bars(spark, d)
+    return se.seasonality_flags(se.seasonal_periods(rows, height=0.03), se.calendar_patterns(se.calendar_means(rows)), rows)
+
+
 def decompose_sql(model: str) -> str:
     op = "-" if model == "additive" else "/"
     return f"""with {a.BARS_RN}, dn as (select *, {N} from b),

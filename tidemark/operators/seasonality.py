@@ -139,6 +139,21 @@ def _centred(column: str, keys: Sequence[str], period: Column, half: Column) ->
     return F.when(period % 2 == 1, total / period).otherwise((total - ends) / period)
 
 
+def seasonality_flags(periods: DataFrame, patterns: DataFrame, series: DataFrame, least: int = 30, keys: Sequence[str] = KEYS) -> DataFrame:
+    """One row per series of at least ``least`` rows: whether it has a significant period, how many, and which calendar patterns.
+
+    ``periods`` and ``patterns`` come from :func:`seasonal_periods` and :func:`calendar_patterns`, ``series`` is the data.
+    """
+    keys = list(keys)
+    every = series.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select(*keys)
+    found = periods.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_periods"), F.min_by("period", "rank").alias("strongest_period"))
+    shown = patterns.groupBy(*keys).agg(*[
+        F.max(F.col("calendar") == name).alias(f"{name}_pattern") for name in CALENDAR_THRESHOLDS])
+    out = every.join(found, keys, "left").join(shown, keys, "left")
+    return out.select(*keys, F.col("n_periods").isNotNull().alias("has_significant_seasonality"), F.coalesce("n_periods", F.lit(0)).alias("n_periods"), "strongest_period",
+                      *[F.coalesce(f"{name}_pattern", F.lit(False)).alias(f"{name}_pattern") for name in CALENDAR_THRESHOLDS])
+
+
 def decompose(df: DataFrame, period: int | None = None, model: str = "additive", column: str = "close", keys: Sequence[str] = KEYS, order: str = "date",
               block_rows: int | None = None) -> DataFrame:
     """Trend by centred average (ends by a line through the nearest ``period`` points), seasonal, residual.

@@ -188,11 +188,12 @@ WINDOWS = {"direction": tr.Share(20, 4), "changes": tr.Share(20, 4), "levels": t
 def trend_batch(df: DataFrame, column: str = "close") -> dict[str, DataFrame]:
     """Direction, changes, levels, seasonality, phase and stationarity of every series, each one plan for all lengths."""
     s, w = staged(df), WINDOWS
+    periods, calendar = staged(se.seasonal_periods(s, column)), staged(se.calendar_patterns(se.calendar_means(s, column)))
     return {
         "direction": tr.direction_summary(s, w["direction"], column=column),
         "changes": tr.trend_changes(s, w["changes"], column=column),
         "levels": tr.support_resistance(s, w["levels"], column=column),
-        "periods": se.seasonal_periods(s, column), "calendar": se.calendar_patterns(se.calendar_means(s, column)),
+        "periods": periods, "calendar": calendar, "seasonality": se.seasonality_flags(periods, calendar, s.where(F.col(column).isNotNull())),
         "phase": tr.market_phase(tr.phase_inputs(s, w["phase"], column)),
         "stationarity": st.stationarity(s, w["stationarity"], column),
     }

@@ -140,6 +140,24 @@ def stock_directory_log(spark, d):
     return entries.join(wanted, F.col("process_name") == F.col("p"), "left").select("process_name", "status", "error_message", counted.alias("records_counted"))
 
 
+INDICES = {"^R0": ("gspc", "^GSPC", "S&P 500"), "^R1": ("^dji", "^DJI", "Dow Jones Industrial Average"), "^R2": ("IXIC", "^IXIC", "NASDAQ Composite"),
+           "^R3": ("own", "^OWN", "^OWN"), "^R4": ("rut", "^RUT", "Russell 2000")}
+
+
+@query("index_directory_load", f"""with {a.INDEX_DAILY}, m(s, symbol, name) as (values {", ".join(f"('{k}', '{v[1]}', '{v[2]}')" for k, v in INDICES.items())})
+select m.symbol, name, 'index' as asset_type, count(*) as prices_inserted, min(close) as lowest from indices join m on m.s = indices.symbol group by 1, 2""")
+def index_directory_load(spark, d):
+    """Index files under all kinds of names: symbols get their caret, known indices their names."""
+    folder, root = fresh(spark, "indices"), fresh(spark, "star")
+    name = F.create_map(*[F.lit(x) for k, v in INDICES.items() for x in (k, v[0])])
+    rows = a.index_daily(spark, d).withColumn("symbol", F.try_element_at(name, F.col("symbol")))
+    sinks.write_table(rows, f"{folder}/processed", form="csv")
+    report = di.load_stock_directory(spark, root, folder, kind="index", layout=di.WRITTEN).select("symbol", "asset_id", "prices_inserted")
+    named = report.join(sinks.read_star(spark, root, "asset").select("asset_id", "name", "asset_type"), "asset_id")
+    lowest = sinks.read_star(spark, root, "stock_price").groupBy("asset_id").agg(F.min("close_price").alias("lowest"))
+    return named.join(lowest, "asset_id").drop("asset_id")
+
+
 # -- coins ---------------------------------------------------------------------------------------
 
 

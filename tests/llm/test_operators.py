@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -338,6 +338,60 @@ def test_main_text(spark):
     assert main_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_main_text_frame_decides_inside_marked_articles(spark):
+    rng = random.Random(4)
+    notice, shared = prose(rng, 14), prose(rng, 14)
+    body = {k: prose(rng, 30) for k in range(4)}
+    page = "<body><{tag} class='x1'><p>{extra}</p></{tag}><article><h1>Title {k}</h1><p>{a}</p><div class='x1'>{mid}</div><p>{b}</p></article></body>"
+    rows = [(k, f"https://h.example/{k}", page.format(tag="div", extra=prose(rng, 12), k=k, a=body[k], mid=notice, b=shared)) for k in range(3)]
+    rows += [(10 + k, f"https://h.example/f{k}", page.format(tag="footer", extra=notice, k=f"f{k}", a=prose(rng, 20), mid="own", b="end")) for k in range(2)]
+    # A copy of an article at another place, and teasers of it on two pages.
+    rows += [(20 + k, f"https://h.example/c{k}", page.format(tag="div", extra="top", k=9, a=body[3], mid="own", b="end")) for k in range(2)]
+    rows += [(30 + k, f"https://h.example/t{k}", page.format(tag="aside", extra=body[3], k=f"t{k}", a="short", mid="own", b="end")) for k in range(2)]
+    # A paragraph of two articles that the frame quotes.
+    rows += [(50 + k, f"https://h.example/q{k}", page.format(tag="aside", extra="top", k=f"q{k}", a=body[3], mid="own", b="end")) for k in range(2)]
+    # The frame of one host says nothing about another.
+    rows += [(40, "https://other.example/", page.format(tag="div", extra="top", k=40, a="short", mid=notice, b="end")), (0, *rows[0][1:])]
+    got = [tuple(r) for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).select("page_id", "text").collect()]
+    text = dict(got)
+    assert len(got) == len(rows) and [i for i, _ in got].count(0) == 2
+    assert all(text[k] == f"Title {k} {body[k]} {shared}" for k in range(3))
+    assert text[20] == text[21] == f"Title 9 {body[3]} own end" and text[50] == f"Title q0 {body[3]} own end" and text[40] == f"Title 40 short {notice} end"
+
+
+def runs_of(streams):
+    return {(page, p): tuple(w[p:p + main_text.RUN]) for page, w in streams for p in range(len(w) - main_text.RUN + 1)}
+
+
+def test_frame_against_a_direct_version(spark):
+    rng = random.Random(8)
+    pool = [" ".join(rng.choice("abc") for _ in range(rng.randrange(3, 14))) for _ in range(9)]
+    rows, outside, inside, plain = [], [], [], set()
+    for k in range(60):
+        top, own = rng.sample(pool, 2), rng.sample(pool, 3)
+        marked, site = rng.random() < 0.6, f"h{k % 2}.example"
+        tag = "article" if marked else "section"
+        row = (k, f"https://{site}/{k}", f"<p>{top[0]}</p><nav>{top[1]}</nav><{tag}>" + "".join(f"<p>{x}</p>" for x in own) + f"</{tag}>")
+        rows.append(row)
+        page = main_text._number(*row[1:])
+        outside.append((site, page, " ".join(top if marked else top + own).split(), None))
+        inside += [(site, page, " ".join(own).split(), own[0])] if marked else []
+        plain |= set() if marked else {page}
+    want = set()
+    for site in ("h0.example", "h1.example"):
+        pages, firsts = defaultdict(set), defaultdict(set)
+        for (page, _), run in runs_of([x[1:3] for x in outside if x[0] == site]).items():
+            pages[run].add(page)
+        for x in inside:
+            for run in runs_of([x[1:3]]).values() if x[0] == site else ():
+                firsts[run].add(x[3])
+        want |= {at for at, run in runs_of([x[1:3] for x in outside if x[0] == site and x[1] in plain]).items() if len(pages[run]) > 1}
+        want |= {at for at, run in runs_of([x[1:3] for x in inside if x[0] == site]).items() if len(pages[run]) > 1 and len(firsts[run]) > 1}
+    found = main_text.frame_starts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = {(r["page"], p) for r in found for p in r["starts"]}
+    assert got == want and any(page in plain for page, _ in want) and any(page not in plain for page, _ in want)
+
+
 def test_licences(spark):
     full = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the "
             "Software without restriction.\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.")

@@ -1,14 +1,19 @@
 """Main text of web pages: structure where a page has it, repeated runs of its host where it has not.
 
 A page is read into blocks. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments are told by tag, role, class or id. A page that marks its article (``article`` or ``main``) gives the blocks
-in there. For a page that does not, boilerplate is what its host repeats: token streams of unmarked pages, and of
-the parts outside other pages' articles, are put together per host, sorted into a suffix array, and runs of at least
-``RUN`` tokens that stand on distinct pages are cut out. Articles themselves stay out of the array, since the
-copy of an article on a second page is no boilerplate.
+comments are told by tag, role, class or id, and by what the page's host repeats. The token streams of the parts outside
+marked articles (``article`` or ``main``), and of whole pages that mark none, are put together per host and sorted into a
+suffix array; runs of at least ``RUN`` tokens that stand on distinct pages there are the host's frame. Every page is
+searched for the frame of its host: a page that marks no article loses the runs; in a marked article they are candidates,
+and structure has the last word: blocks go that the runs cover whole, that stand in different articles too and that are
+text put straight into a ``div`` or ``section``. So a notice inside articles goes without being named as one, while
+paragraphs and headings stay even if adverts quote them, and so do the copy of an article on a second page, a passage that
+articles share and the teaser of an article on other pages. Articles differ when their first blocks do.
 
 No host meets in one task: the streams are cut into stretches under content-defined keys (equal runs have equal
-keys), and (host, key) is dealt over buckets of a fixed expected size, so a host of any size is spread.
+keys), equal stretches collapse to one before they meet, and keys are dealt over buckets of a fixed expected size, so a host
+of any size is spread. Of articles only stretches travel whose key the frame has (a bitmap of fixed size, 2 MB; a false hit
+sends a stretch for nothing).
 
 Defined cases: NULL and empty html give the empty text; pages cut off in the middle give what is there; repeated rows
 are one page to each other (same url and html), so they do not count as boilerplate; NULL urls share one host;
@@ -17,6 +22,7 @@ only page_id, url and html are read.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 
@@ -27,12 +33,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.anchors import sliding_least
+from tidemark.llm.repeats import _bitmap, _marked
 from tidemark.llm.run_index import covered
 from tidemark.llm.shingles import mix, word_hashes
+from tidemark.session import staged, text_batches
 
 RUN, GRAM = 8, 4
 #: Stretches per bucket.
 BUCKET = 40_000
+#: Of the bitmaps of keys and of pages.
+BITS = 24
+#: Characters whose tokens are hashed together.
+CHUNK = 1 << 20
 
 _PART = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/!?a-zA-Z][^>]*\Z|[^<]+|<", re.S)
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas"}
@@ -51,23 +63,25 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SPACES = re.compile(r"\s+")
 
 
-#: Where a block stands: in a part to leave out, in the open, in the marked article.
-JUNK, OPEN, INSIDE = 0, 1, 2
+#: Where a block stands: in a part to leave out, in the open, in the marked article, there straight in one of ``_LOOSE``.
+JUNK, OPEN, INSIDE, LOOSE = 0, 1, 2, 3
+_LOOSE = ("div", "section")
 
 
 def blocks(html: str) -> tuple[bool, list[tuple[int, str]]]:
-    """Whether the page marks its article, and its text blocks in order as (:data:`JUNK`, :data:`OPEN` or :data:`INSIDE`, text)."""
+    """Whether the page marks its article, and its text blocks in order as (:data:`JUNK`, :data:`OPEN`, :data:`INSIDE` or :data:`LOOSE`, text)."""
     out: list[tuple[int, str]] = []
     text: list[str] = []
     depth = 0  # of article or main
     marked = False
+    inner = ""  # the block element opened last, unless another ended since
     skip, nested = "", 0  # the tag that opened a part to leave out, and how many of its name are open
 
     def flush() -> None:
         if text:
             block = _SPACES.sub(" ", entities.unescape("".join(text))).strip()
             if block:
-                out.append((JUNK if skip else INSIDE if depth else OPEN, block))
+                out.append((JUNK if skip else OPEN if not depth else LOOSE if inner in _LOOSE else INSIDE, block))
             text.clear()
 
     at = 0
@@ -115,6 +129,7 @@ def blocks(html: str) -> tuple[bool, list[tuple[int, str]]]:
         if name in _INLINE:
             continue
         flush()
+        inner = "" if closing else name
         if name in ("article", "main"):
             depth = max(0, depth - 1) if closing else depth + 1
             marked |= not closing
@@ -141,49 +156,89 @@ def host(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def _page(url: str | None, html: str) -> int:
-    return int(mix(word_hashes(f"{url} {hash_text(html)}".encode("utf-8", "surrogatepass"))).sum(dtype=np.uint64).astype(np.int64))
-
-
-def hash_text(text: str) -> str:
-    import hashlib
+def _number(*texts: str | None) -> int:
+    """A 64-bit number for texts: of a page's url and html, or of a block."""
+    return int.from_bytes(hashlib.sha256(" ".join(map(str, texts)).encode("utf-8", "surrogatepass")).digest()[:8], "little", signed=True)
+
+
+def _cut(streams: list[tuple[str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """The stretches of token streams given as (host, blocks joined by a space): stream, key, first token, tokens (as bytes)."""
+    none = np.empty(0, np.int64)
+    words = word_hashes(" ".join(t for _, t in streams).encode("utf-8", "surrogatepass"))
+    if len(words) < RUN:
+        return none, none, none, []
+    sizes = np.array([t.count(" ") + 1 for _, t in streams])
+    seeds = {h: mix(word_hashes(h.encode("utf-8", "surrogatepass") or b"?"))[0] for h in {h for h, _ in streams}}
+    owner = np.repeat(np.arange(len(streams)), sizes)
+    tokens = mix(words ^ np.array([seeds[h] for h, _ in streams], np.uint64)[owner])  # told apart by host
+    grams = tokens[:len(tokens) - GRAM + 1].copy()
+    for k in range(1, GRAM):
+        grams = grams * np.uint64(0xC2B2AE3D27D4EB4F) + tokens[k:len(tokens) - GRAM + 1 + k]
+    keys = sliding_least(mix(grams), RUN - GRAM + 1)
+    spot = np.flatnonzero(owner[:len(keys)] == owner[RUN - 1:])  # runs that end in the stream they begin in
+    if not len(spot):
+        return none, none, none, []
+    key, stream = keys[spot], owner[spot]
+    new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (stream[1:] != stream[:-1])]))
+    first, last = spot[new], spot[np.concatenate([new[1:], [len(spot)]]) - 1]
+    begin = np.cumsum(sizes) - sizes
+    held = [tokens[a:b].tobytes() for a, b in zip(first.tolist(), (last + RUN).tolist(), strict=True)]
+    return stream[new], key[new].astype(np.int64), first - begin[stream[new]], held
+
+
+def _chunks(streams):
+    """Lists of (page, host, text, further) of about :data:`CHUNK` characters of text."""
+    part, size = [], 0
+    for x in streams:
+        part.append(x)
+        size += len(x[2])
+        if size > CHUNK:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def frames(pages: DataFrame) -> DataFrame:
+    """Stretches of the token streams outside articles: key, page, at, tokens, whether the page marks no article."""
+    def outside(batch):
+        for url, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            marked, found = blocks(html or "")
+            if parts := [t for zone, t in found if not (marked and zone >= INSIDE)]:
+                yield _number(url, html or ""), host(url), " ".join(parts), not marked
 
-    return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+    def read(batches):
+        for batch in batches:
+            for part in _chunks(outside(batch)):
+                stream, key, at, held = _cut([x[1:3] for x in part])
+                page, plain = np.array([x[0] for x in part], np.int64), np.array([x[3] for x in part], bool)
+                yield pa.record_batch([pa.array(key), pa.array(page[stream]), pa.array(at), pa.array(held, pa.binary()), pa.array(plain[stream])], names=["key", "page", "at", "tokens", "plain"])
 
+    return pages.select("url", "html").mapInArrow(read, "key long, page long, at long, tokens binary, plain boolean")
 
-def _tokens(page_host: str, parts: list[str]) -> np.ndarray:
-    """Token hashes of a page's stream, told apart by host."""
-    seed = mix(word_hashes(page_host.encode() or b"?"))[:1]
-    return mix(word_hashes(" ".join(parts).encode("utf-8", "surrogatepass")) ^ seed)
 
+def articles(pages: DataFrame, keys) -> DataFrame:
+    """Stretches of marked articles with a marked key: key, page, at, tokens, article (by its first block)."""
+    def inside(batch):
+        for url, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            marked, found = blocks(html or "")
+            if parts := [t for zone, t in found if marked and zone >= INSIDE]:
+                yield _number(url, html or ""), host(url), " ".join(parts), _number(parts[0])
 
-def streams(pages: DataFrame) -> DataFrame:
-    """Stretches of token streams outside articles: key, page, at, tokens (as bytes)."""
     def read(batches):
         for batch in batches:
-            out = []
-            for url, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                marked, found = blocks(html or "")
-                tokens = _tokens(host(url), [t for zone, t in found if not (marked and zone == INSIDE)])
-                if len(tokens) < RUN:
-                    continue
-                page = _page(url, html or "")
-                grams = tokens[:len(tokens) - GRAM + 1].copy()
-                for k in range(1, GRAM):
-                    grams = grams * np.uint64(0xC2B2AE3D27D4EB4F) + tokens[k:len(tokens) - GRAM + 1 + k]
-                keys = sliding_least(mix(grams), RUN - GRAM + 1)
-                first = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
-                last = np.concatenate([first[1:], [len(keys)]]) - 1
-                for a, b in zip(first.tolist(), last.tolist(), strict=True):
-                    out.append((int(keys[a].astype(np.int64)), page, a, tokens[a:b + RUN].tobytes()))
-            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["key", "page", "at", "tokens"])
-
-    return pages.select("url", "html").mapInArrow(read, "key long, page long, at long, tokens binary")
+            for part in _chunks(inside(batch)):
+                stream, key, at, held = _cut([x[1:3] for x in part])
+                hit = np.flatnonzero(_marked(keys.value, key, BITS))
+                page, article = np.array([x[0] for x in part], np.int64), np.array([x[3] for x in part], np.int64)
+                yield pa.record_batch([pa.array(key[hit]), pa.array(page[stream[hit]]), pa.array(at[hit]), pa.array([held[k] for k in hit.tolist()], pa.binary()), pa.array(article[stream[hit]])],
+                                      names=["key", "page", "at", "tokens", "article"])
+
+    return pages.select("url", "html").mapInArrow(read, "key long, page long, at long, tokens binary, article long")
 
 
 def _array(rows: pd.DataFrame) -> pd.DataFrame:
-    """Runs of ``RUN`` tokens on distinct pages, by a suffix array over the stretches of a bucket."""
+    """Where each distinct stretch of a bucket holds a run of ``RUN`` tokens of the frame, and one that different articles hold too, by a suffix array."""
     parts = [np.frombuffer(x, np.uint64) for x in rows["tokens"]]
     size = np.array([len(p) for p in parts])
     text = np.concatenate(parts)
@@ -197,21 +252,24 @@ def _array(rows: pd.DataFrame) -> pd.DataFrame:
     spots = size - RUN + 1
     owner = np.repeat(np.arange(len(parts)), spots)
     place = np.repeat(begin - (np.cumsum(spots) - spots), spots) + np.arange(spots.sum())
-    page = rows["page"].to_numpy()[owner]
-    order = np.lexsort((page, rank[place]))  # suffixes by their first RUN tokens, a page's own next to each other
-    ranked, page = rank[place][order], page[order]
+    order = np.argsort(rank[place], kind="stable")  # suffixes by their first RUN tokens
+    ranked = rank[place][order]
     new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    group = np.cumsum(new) - 1
-    start = np.flatnonzero(new)
-    end = np.concatenate([start[1:], [len(ranked)]]) - 1
-    repeated = (page[start] != page[end])[group]
-    at = order[repeated]
-    where = rows["at"].to_numpy()[owner[at]] + place[at] - begin[owner[at]]
-    return pd.DataFrame({"page": rows["page"].to_numpy()[owner[at]], "start": where})
+    start, group = np.flatnonzero(new), np.cumsum(new) - 1
+
+    def several(least: str, most: str) -> np.ndarray:
+        low, high = (rows[c].astype("Int64").fillna(x).to_numpy(np.int64)[owner[order]] for c, x in ((least, 2 ** 63 - 1), (most, -2 ** 63)))
+        return (np.minimum.reduceat(low, start) < np.maximum.reduceat(high, start))[group]
+
+    framed = several("page_low", "page_high")
+    inside = (framed & several("article_low", "article_high"))[framed]
+    owned, spot = owner[order[framed]], place[order[framed]] - begin[owner[order[framed]]]
+    out = pd.DataFrame({"row": owned, "spot": spot, "inside": inside}).groupby("row").agg(list).reset_index()
+    return pd.DataFrame({"key": rows["key"].to_numpy()[out["row"]], "tokens": rows["tokens"].to_numpy()[out["row"]], "spots": out["spot"], "inside": out["inside"]})
 
 
-def _unique(starts: np.ndarray, sizes: np.ndarray, open_: np.ndarray) -> np.ndarray:
-    """Which tokens of a page stay: those of open blocks, less blocks that repeated runs cover, and runs inside a block.
+def _unique(starts: np.ndarray, sizes: np.ndarray, open_: np.ndarray, parts: bool = True) -> np.ndarray:
+    """Which tokens of a page stay: those of open blocks, less blocks that repeated runs cover, and (``parts``) runs inside a block.
 
     A run may begin in one block and end in the next; of a block that is not covered as a whole it takes nothing then.
     """
@@ -223,61 +281,75 @@ def _unique(starts: np.ndarray, sizes: np.ndarray, open_: np.ndarray) -> np.ndar
         over[a:b] = True
     whole = np.bincount(block, over, len(sizes)) == sizes
     inside = starts[starts + RUN <= ends[block[starts]]] if len(starts) else starts
-    for a, b in covered(inside, inside + RUN):
+    for a, b in covered(inside, inside + RUN) if parts else ():
         keep[a:b] = False
     return keep & ~whole[block]
 
 
+def frame_starts(pages: DataFrame) -> DataFrame:
+    """page, starts: where the runs of its host's frame begin that count on the page (tokens of the article, or of all blocks if none is marked)."""
+    spark = pages.sparkSession
+    outside = staged(frames(pages))
+    keys = staged(outside.groupBy("key").agg(F.min("page").alias("low"), F.max("page").alias("high")).filter("low <> high").select("key"))
+    marks = spark.sparkContext.broadcast(_bitmap(keys, "key", BITS))  # one bit a cell
+    inside = staged(articles(pages, marks))
+    outside = outside.join(keys, "key", "left_semi")
+    every = outside.select("key", "tokens", "page", F.lit(None).cast("long").alias("article")).union(inside.select("key", "tokens", F.lit(None).cast("long"), "article"))
+    distinct = every.groupBy("key", "tokens").agg(*[f(c).alias(f"{c}_{end}") for c in ("page", "article") for f, end in ((F.min, "low"), (F.max, "high"))])
+    buckets = max(1, -(-(outside.count() + inside.count()) // BUCKET))
+    found = distinct.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))).groupBy("bucket").applyInPandas(_array, "key long, tokens binary, spots array<long>, inside array<boolean>")
+    found = staged(found)
+    plain = outside.filter("plain").join(found, ["key", "tokens"]).select("page", F.explode("spots").alias("spot"), "at")
+    framed = inside.join(found, ["key", "tokens"]).select("page", F.explode(F.expr("filter(spots, (x, i) -> inside[i])")).alias("spot"), "at")
+    return plain.union(framed).groupBy("page").agg(F.collect_set(F.col("at") + F.col("spot")).alias("starts"))  # one page's places
+
+
+def _text(html: str | None, starts: list[int] | None) -> str:
+    """The main text of a page, given where runs of its host's frame begin."""
+    marked, found = blocks(html or "")
+    if marked:
+        found = [(zone, t) for zone, t in found if zone >= INSIDE]
+    if not starts:
+        return " ".join(t for zone, t in found if zone != JUNK)
+    words, zones = [t.split(" ") for _, t in found], np.array([zone for zone, _ in found])
+    sizes = np.array([len(w) for w in words], np.int64)
+    keep = _unique(np.array(sorted(starts), np.int64), sizes, zones != JUNK, not marked) | np.repeat(zones == INSIDE, sizes)
+    return " ".join(w for w, k in zip((w for block in words for w in block), keep.tolist(), strict=True) if k)
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page."""
-    def direct(batches):
+    spark = pages.sparkSession
+    text_batches(spark)
+    starts = staged(frame_starts(pages))
+    marks = spark.sparkContext.broadcast(_bitmap(starts, "page", BITS))  # pages on which the frame counts; only these meet their places
+
+    def rows(batch):
+        columns = [batch.column(k).to_pylist() for k in (1, 2)]
+        page = np.array([_number(url, html or "") for url, html in zip(*columns, strict=True)], np.int64)
+        return page, _marked(marks.value, page, BITS)
+
+    def free(batches):
         for batch in batches:
-            ids, urls, pages_, texts = [], [], [], []
-            for i, url, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                marked, found = blocks(html or "")
-                ids.append(i)
-                urls.append(url)
-                pages_.append(None if marked or not found else _page(url, html or ""))
-                texts.append(" ".join(t for zone, t in found if zone == INSIDE) if marked else None if found else "")
-            yield pa.record_batch([pa.array(ids, batch.schema.field(0).type), pa.array(urls, pa.string()), pa.array(pages_, pa.int64()), pa.array(texts, pa.string())],
-                                  names=["page_id", "url", "page", "text"])
-
-    def unique(batches):
+            some = batch.filter(pa.array(~rows(batch)[1]))
+            yield pa.record_batch([some.column(0), some.column(1), pa.array([_text(h, None) for h in some.column(2).to_pylist()], pa.string())], names=["page_id", "url", "text"])
+
+    def held(batches):
+        for batch in batches:
+            page, hit = rows(batch)
+            yield pa.record_batch([*batch.filter(pa.array(hit)).columns, pa.array(page[hit])], names=["page_id", "url", "html", "page"])
+
+    def cut(batches):
         for batch in batches:
-            url, html, page, starts = (c.to_pylist() for c in batch.columns)
-            out = []
-            for u, h, s in zip(url, html, starts, strict=True):
-                found = [(zone, re.findall(r"[^\x20\x09-\x0D]+", block)) for zone, block in blocks(h or "")[1]]
-                keep = _unique(np.array(sorted(s or []), np.int64), np.array([len(t) for _, t in found], np.int64), np.array([zone != JUNK for zone, _ in found], bool))
-                out.append(" ".join(t for t, k in zip((t for _, block in found for t in block), keep, strict=True) if k))
-            yield pa.record_batch([batch.column(2), pa.array(out, pa.string())], names=["page", "left"])
+            texts = [_text(h, s) for h, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    rows = pages.select("page_id", "url", "html")
-    read = rows.mapInArrow(direct, f"page_id {kind}, url string, page long, text string")
-    # Only pages without a marked article need what their hosts repeat.
-    plain = rows.mapInArrow(_plain, "url string, html string, page long").dropDuplicates(["page"])
-    buckets = max(1, -(-pages.count() * 8 // BUCKET))
-    runs = streams(pages).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))).groupBy("bucket").applyInPandas(_array, "page long, start long")
-    starts = runs.join(plain.select("page"), "page", "left_semi").groupBy("page").agg(F.collect_set("start").alias("starts"))  # one page's places
-    left = plain.join(starts, "page", "left").select("url", "html", "page", "starts").mapInArrow(unique, "page long, left string")
-    text = F.coalesce("text", "left", F.lit(""))
-    # Pages without an identity find nothing; a key of their own keeps them from meeting in one task.
-    keyed = read.withColumn("_own", F.col("page").isNotNull()).withColumn("_key", F.coalesce("page", F.xxhash64("page_id", "url")))
-    joined = keyed.join(left.withColumnRenamed("page", "_page"), (F.col("_key") == F.col("_page")) & F.col("_own"), "left")
-    return joined.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
-
-
-def _plain(batches):
-    """url, html and identity of the pages that have blocks and no marked article."""
-    for batch in batches:
-        out = []
-        for _, url, html in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            marked, found = blocks(html or "")
-            if found and not marked:
-                out.append((url, html, _page(url, html or "")))
-        columns = list(zip(*out, strict=True)) or [(), (), ()]
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], names=["url", "html", "page"])
+    read = pages.select("page_id", "url", "html")
+    framed = read.mapInArrow(held, f"page_id {kind}, url string, html string, page long").join(starts, "page", "left").select("page_id", "url", "html", "starts")
+    out = f"page_id {kind}, url string, text string"
+    texts = read.mapInArrow(free, out).union(framed.mapInArrow(cut, out))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.shingles import mix, shingle_set
-from tidemark.session import staged
+from tidemark.session import staged, text_batches
 
 CELLS = 1 << 19
 SKETCHES = 2
@@ -72,7 +72,7 @@ def scan(docs: DataFrame, text: str, key: str, size: int) -> DataFrame:
                 scattered = mix(tokens)
                 cells.append(_cells(tokens))
                 waiting += len(tokens)
-                if waiting > 1 << 20:  # counted together, since every count passes over all cells
+                if waiting > 1 << 18:  # counted together, since every count passes over all cells
                     counts += np.bincount(np.concatenate(cells), minlength=len(counts))
                     cells, waiting = [], 0
                 sig.append(_signature(tokens, scattered))
@@ -241,7 +241,7 @@ def _seats(members: DataFrame, block: int, percent: int) -> DataFrame:
 
 def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) -> DataFrame:
     """``doc, sig, n, root`` for every row of ``docs``: its set's signature and size, and the component's signature (NULL: no shingles)."""
-    spark = docs.sparkSession
+    spark = text_batches(docs.sparkSession)
     scanned = staged(scan(docs, text, key, size))
     counts = spark.sparkContext.broadcast(_sketches(scanned))  # 4 bytes a cell, whatever the corpus
     sets = scanned.filter("cell is null").select("doc", "sig", "n")

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import text_batches
+
 CAPACITY = 4096
 END_ID = 2
 #: Documents per bucket: a few ten thousand numbers in memory.
@@ -207,6 +209,7 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 def run(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Cut and pack whole documents."""
+    text_batches(docs.sparkSession)
     return pack(pieces(docs, tokenizer), docs.count())
 
 

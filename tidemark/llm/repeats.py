@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.anchors import WINDOW, gram_hashes, stretches
 from tidemark.llm.run_index import RunIndex, covered
 from tidemark.llm.text import whole
-from tidemark.session import staged
+from tidemark.session import staged, text_batches
 
 KEY_BITS, TEXT_BITS = 27, 24
 CROWD = 20_000
@@ -149,7 +149,7 @@ def _windows(stretch: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, text: str = "text", crowd: int = CROWD) -> DataFrame:
     """tid (digest of a text) and its removed spans, for texts that hold repeats; texts with copies are left to the caller."""
-    spark = docs.sparkSession
+    spark = text_batches(docs.sparkSession)
     counts = staged(key_counts(docs, text).filter("count > 1"))
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     keys = spark.sparkContext.broadcast(_bitmap(counts, "key", KEY_BITS))  # 16 MB at most

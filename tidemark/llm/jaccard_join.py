@@ -222,30 +222,37 @@ def _seats(members: DataFrame, block: int, percent: int) -> DataFrame:
     Groups over that size are cut into levels by the ratio of sizes and those into parts by hash, so a group of any
     size is dealt without being sorted in one place; a member meets its own level and the two on either side.
     """
-    total = members.groupBy("group").agg(F.count("*").alias("members"))
-    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("long")
-    spread = members.join(total, "group").withColumn("level", F.when(F.col("members") > block, level).otherwise(F.lit(0)))
-    blocks = spread.groupBy("group", "level").agg(F.count("*").alias("held")).withColumn("parts", F.ceil(F.col("held") / block).cast("int"))
-    spread = spread.join(blocks.select("group", "level", "parts"), ["group", "level"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # Most groups are one block; only the others are paired up.
-    alone = spread.filter(F.col("members") <= block).select("node", *SEAT[:3], F.col("level").alias("other"), F.col("part").alias("other_part"), F.lit(0).alias("side"))
-    spread = spread.filter(F.col("members") > block)
-    near = blocks.select("group", F.col("level").alias("other"), F.col("parts").alias("other_parts"))
-    ahead = spread.join(near, "group").filter("other between level and level + 2").select(
-        "node", "group", "level", "part", "other", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)).alias("other_part")).filter("other > level or other_part >= part")
-    behind = spread.join(near, "group").filter("other between level - 2 and level").select(
-        "node", "group", F.col("other").alias("level"), F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)).alias("part"),
-        F.col("level").alias("other"), F.col("part").alias("other_part")).filter("other > level or part < other_part")
-    return alone.unionByName(ahead.withColumn("side", F.lit(0))).unionByName(behind.withColumn("side", F.lit(1)))
+    dealt = members.withColumn("own", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("long"))
+    held = dealt.groupBy("group", F.col("own").alias("level")).agg(F.count("*").alias("held"))
+    levels = F.collect_list(F.struct("level", F.ceil(F.col("held") / block).cast("int").alias("parts")))  # few: sizes grow by a ratio
+    groups = held.groupBy("group").agg(F.sum("held").alias("members"), levels.alias("levels"))
+    # Most groups are one block; only the others are paired up, each member with the blocks ahead and behind.
+    groups = groups.withColumn("levels", F.when(F.col("members") > block, F.col("levels")))
+    one = F.col("levels").isNull()
+    spread = dealt.join(groups, "group").select(
+        "node", "group", F.when(one, 0).otherwise(F.col("own")).alias("own"),
+        F.when(one, 0).otherwise(F.expr("pmod(xxhash64(node), filter(levels, x -> x.level = own)[0].parts)")).cast("int").alias("at"),
+        F.explode(F.when(one, F.expr("array(named_struct('level', 0L, 'parts', 1))")).otherwise(
+            F.expr("filter(levels, x -> x.level between own - 2 and own + 2)"))).alias("near"))
+    spread = spread.select("node", "group", "own", "at", F.col("near.level").alias("far"), F.explode(F.sequence(F.lit(0), F.col("near.parts") - 1)).alias("place"))
+    ahead = F.expr("far > own or far = own and place >= at")
+    return spread.select(
+        "node", "group", F.when(ahead, F.col("own")).otherwise(F.col("far")).alias("level"), F.when(ahead, F.col("at")).otherwise(F.col("place")).alias("part"),
+        F.when(ahead, F.col("far")).otherwise(F.col("own")).alias("other"), F.when(ahead, F.col("place")).otherwise(F.col("at")).alias("other_part"),
+        F.when(ahead, 0).otherwise(1).alias("side"))
 
 
 def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) -> DataFrame:
-    """``doc, sig, n, root`` for every row of ``docs``: its set's signature and size, and the component's signature (NULL: no shingles)."""
+    """``doc, sig, n, root`` for every row of ``docs``: its set's signature and size, and the component's signature (NULL: no shingles).
+
+    Small tables between the steps are staged: the driver keeps a broadcast per scan and per stage of a plan and rewrites the
+    whole plan after every stage, so one plan of all steps takes much of its memory.
+    """
     spark = text_batches(docs.sparkSession)
     scanned = staged(scan(docs, text, key, size))
     counts = spark.sparkContext.broadcast(_sketches(scanned))  # 4 bytes a cell, whatever the corpus
     sets = scanned.filter("cell is null").select("doc", "sig", "n")
-    slots = scanned.filter("cell is null and n > 0").select("sig", "n", "slots").dropDuplicates(["sig", "n", "slots"])
+    slots = staged(scanned.filter("cell is null and n > 0").select("sig", "n", "slots").dropDuplicates(["sig", "n", "slots"]))
 
     # Tokens that at least two distinct sets have in a prefix under the same order. What a token's row carries is fixed by its set.
     by_token = Window.partitionBy("token", "order")
@@ -265,7 +272,7 @@ def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) ->
             yield batch.filter(pa.array(_near(a, b, n, m, percent))).select(["a", "b"])
 
     sides = pairs.join(slots.select(F.col("sig").alias("a"), "n", "slots"), "a").join(slots.select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("slots").alias("more")), "b")
-    pairs = sides.select("a", "b", "n", "m", "slots", "more").mapInArrow(near, "a long, b long")
+    pairs = staged(sides.select("a", "b", "n", "m", "slots", "more").mapInArrow(near, "a long, b long"))
     # The other orders: a pair stays only if it shares a prefix token under each.
     tokens = shared.filter("order > 0").groupBy("sig").agg(*[
         F.collect_list(F.when(F.col("order") == k, F.col("token"))).alias(f"t{k}") for k in range(1, ORDERS)])  # a part of one prefix
@@ -275,12 +282,12 @@ def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) ->
         pairs = pairs.filter(F.arrays_overlap(f"a{k}", f"b{k}"))
     many = shared.filter((F.col("order") == 0) & (F.col("count") > DENSE)).select(F.col("token").alias("group"), F.col("sig").alias("node"), "n")
     placed = _seats(many, WIDE, percent).join(slots, F.col("node") == F.col("sig")).select(*SEAT, "side", "sig", "n", "slots")
-    dense = placed.groupBy(*SEAT).applyInPandas(lambda rows: _dense(rows, percent), "a long, b long")
+    dense = staged(placed.groupBy(*SEAT).applyInPandas(lambda rows: _dense(rows, percent), "a long, b long"))
     family = components(pairs.select("a", "b").union(dense))
 
-    members = family.join(slots.select(F.col("sig").alias("node"), "n"), "node").select(F.col("root").alias("group"), "node", "n")
+    members = staged(family.join(slots.select(F.col("sig").alias("node"), "n"), "node").select(F.col("root").alias("group"), "node", "n"))
     seats = _seats(members, BLOCK, percent)
-    marks = spark.sparkContext.broadcast(_marked(family))  # one bit a cell
+    marks = spark.sparkContext.broadcast(_marked(members))  # one bit a cell
     held = set_rows(docs, text, marks, size)
     placed = seats.join(held, seats["node"] == held["sig"]).select(*SEAT, "side", "sig", "n", "tokens")
     links = placed.groupBy(*SEAT).applyInPandas(lambda rows: _verify(rows, percent), "a long, b long")

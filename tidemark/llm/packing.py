@@ -33,6 +33,8 @@ CAPACITY = 4096
 END_ID = 2
 #: Documents per bucket: a few ten thousand numbers in memory.
 BUCKET_DOCS = 8192
+#: Bytes of text that count as one document where the ids travel too: 32 MB per bucket.
+TEXT_BYTES = 4096
 #: Words a worker remembers before it starts anew.
 REMEMBER = 400_000
 
@@ -207,10 +209,17 @@ def sequences(packed: DataFrame) -> DataFrame:
         "sequence_id", "n_tokens", F.expr(f"transform(sequence(0, cast(n_tokens as int) - 1), i -> cast({swap} as int))").alias("ids"))
 
 
-def run(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Cut and pack whole documents."""
+def run(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+    """Cut and pack whole documents; ``with_ids`` keeps the ids of every piece.
+
+    Pieces with ids are dealt by bytes too, so that a bucket of long texts holds no more than one of many short ones.
+    """
     text_batches(docs.sparkSession)
-    return pack(pieces(docs, tokenizer), docs.count())
+    cut = pieces(docs, tokenizer, with_ids=with_ids)
+    if not with_ids:
+        return pack(cut, docs.count())
+    n_docs, n_bytes = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    return pack(cut, max(n_docs, -(-n_bytes // TEXT_BYTES)))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

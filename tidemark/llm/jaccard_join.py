@@ -153,7 +153,7 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray] | None) -> list[tuple[np.
 
 
 def _verify(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """The links inside one block, or between two, as a forest that connects the same sets."""
+    """The links inside one block, or between two, as stars that connect the same sets."""
     rows = rows.sort_values(["side", "n", "sig"], ignore_index=True)
     sets = [np.frombuffer(x, np.uint64) for x in rows["tokens"]]
     cut = int((rows["side"] == 0).sum())
@@ -167,7 +167,6 @@ def _verify(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
             i = parent[i]
         return i
 
-    links = []
     right = cut if cut < len(rows) else 0
     for i, (found, shared) in enumerate(_overlaps(sets[:cut], sets[cut:] if right else None)):
         found = found + right
@@ -175,8 +174,15 @@ def _verify(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
             x, y = root(i), root(j)
             if x != y:
                 parent[y] = x
-                links.append((int(sig[i]), int(sig[j])))
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    return _stars(np.array([root(i) for i in range(len(rows))]), sig)
+
+
+def _stars(tree: np.ndarray, sig: np.ndarray) -> pd.DataFrame:
+    """Edges from the smallest signature of each tree to its others; stars need no round of ``components``."""
+    least = np.full(len(sig), np.iinfo(np.int64).max)
+    np.minimum.at(least, tree, sig)
+    least = least[tree]
+    return pd.DataFrame({"a": sig[sig != least], "b": least[sig != least]}, dtype="int64")
 
 
 def _near(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -199,7 +205,6 @@ def _dense(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
             i = parent[i]
         return i
 
-    edges = []
     right = slice(cut, None) if cut < len(rows) else slice(0, cut)
     for i in range(cut):
         lo = np.searchsorted(n[right], -(-percent * n[i] // 100), "left") + right.start
@@ -209,8 +214,7 @@ def _dense(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
             x, y = root(i), root(j)
             if x != y:
                 parent[y] = x
-                edges.append((int(sig[i]), int(sig[j])))
-    return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+    return _stars(np.array([root(i) for i in range(len(rows))]), sig)
 
 
 SEAT = ["group", "level", "part", "other", "other_part"]
@@ -260,6 +264,7 @@ def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) ->
     shared = shared.select("token", "sig", F.expr("info div 8").alias("n"), F.expr("(info div 2) % 4").alias("order"), (F.col("info") % 2 == 1).alias("short"))
     shared = shared.withColumn("count", F.count("*").over(by_token)).filter("count > 1")
     shared = staged(shared)
+    counts.destroy()
     few = shared.filter((F.col("order") == 0) & (F.col("count") <= DENSE))
     x, y = few.filter("short").alias("x"), few.alias("y")
     close = (F.col("x.n") * 100 >= F.col("y.n") * percent) & ((F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.sig") < F.col("y.sig"))))
@@ -292,6 +297,7 @@ def _connected(docs: DataFrame, text: str, key: str, size: int, percent: int) ->
     placed = seats.join(held, seats["node"] == held["sig"]).select(*SEAT, "side", "sig", "n", "tokens")
     links = placed.groupBy(*SEAT).applyInPandas(lambda rows: _verify(rows, percent), "a long, b long")
     joined = components(links)
+    marks.destroy()  # the links are staged in there
 
     return sets.join(joined.withColumnRenamed("node", "sig"), "sig", "left").select(
         "doc", "sig", "n", F.when(F.col("n") > 0, F.coalesce("root", "sig")).alias("root"))

@@ -154,6 +154,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", crowd: int = CROWD) -> D
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     keys = spark.sparkContext.broadcast(_bitmap(counts, "key", KEY_BITS))  # 16 MB at most
     found = staged(occurrences(docs, text, keys).withColumn("sid", F.unhex(F.md5("bytes"))))
+    keys.destroy()
     stretch = found.groupBy("key", "bytes").agg(F.count("*").alias("count")).withColumn("sid", F.unhex(F.md5("bytes")))
     # Keys with too many distinct stretches for one place; the digest only names a stretch within its key.
     crowded = found.groupBy("key").agg(F.count("*").alias("c")).filter(F.col("c") > crowd).select("key")
